@@ -6,10 +6,11 @@ import json
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tagwright.operators.responses import mark_failed
 from tagwright.vocabulary import CONFIDENCE, NOT_MENTIONED, NOTES, VOCABULARY, response_fields
@@ -104,8 +105,19 @@ def with_retries(
     return [], attempts, error
 
 
-def _chosen(df: DataFrame, columns: Sequence[str]) -> str:
-    return T.StructType([df.schema[c] for c in columns])
+def _with_results(
+    batch: pa.RecordBatch, keys: Sequence[str], picks: list[int], results: T.StructType, rows: list
+) -> pa.RecordBatch:
+    """The key columns of the picked input rows beside the result rows."""
+    kept = batch.select(list(keys)).take(pa.array(picks, pa.int64()))
+    found = [
+        pa.array([r[i] for r in rows], to_arrow_type(f.dataType)) for i, f in enumerate(results)
+    ]
+    return pa.RecordBatch.from_arrays([*kept.columns, *found], names=[*keys, *results.names])
+
+
+def _schema(df: DataFrame, keys: Sequence[str], results: T.StructType) -> T.StructType:
+    return T.StructType([*[df.schema[k] for k in keys], *results])
 
 
 def annotate(
@@ -129,9 +141,8 @@ def annotate(
     Fields are not validated here; see ``validate_rows``.
     """
     fields = response_fields(vocab)
-    schema = T.StructType(
+    results = T.StructType(
         [
-            *_chosen(df, keys),
             *[T.StructField(f, T.StringType()) for f in fields],
             T.StructField("attempts", T.IntegerType()),
             T.StructField("status", T.StringType()),
@@ -139,23 +150,27 @@ def annotate(
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def text(value) -> str | None:
+        return None if value is None else str(value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
+            picks, out = [], []
+            for i, row in enumerate(batch.to_pylist()):
                 rows, used, error = with_retries(
-                    lambda: answered_rows(answer(row), vocab), attempts, sleep
+                    lambda row=row: answered_rows(answer(row), vocab), attempts, sleep
                 )
                 state = [used, "ok" if rows else "failed", error]
                 for found in rows or [{}]:
-                    texts = [found.get(f) or None for f in vocab]
-                    notes = [found.get(CONFIDENCE), found.get(NOTES)]
-                    out.append([*[row[k] for k in keys], *texts, *notes, *state])
-            yield pd.DataFrame(out, columns=schema.names)
+                    picks.append(i)
+                    values = [found.get(f) or None for f in vocab]
+                    values += [found.get(CONFIDENCE), found.get(NOTES)]
+                    out.append([*map(text, values), *state])
+            yield _with_results(batch, keys, picks, results, out)
 
     dealt = df if partitions is None else df.repartition(partitions)
     return mark_failed(
-        dealt.mapInPandas(run, schema), F.col("status") == "failed", attempts, vocab
+        dealt.mapInArrow(run, _schema(df, keys, results)), F.col("status") == "failed", attempts, vocab
     )
 
 
@@ -171,19 +186,21 @@ def predict(
     ``results`` is a DDL list of result columns. Status is ``Success``, or
     ``Error: …`` with NULL results; one bad row never fails the batch.
     """
-    found = T.StructType.fromDDL(results)
-    schema = T.StructType([*_chosen(df, keys), *found, T.StructField("status", T.StringType())])
+    wanted = T.StructType.fromDDL(results)
+    schema = T.StructType([*wanted, T.StructField("status", T.StringType())])
+    kinds = {f.name: to_arrow_type(f.dataType) for f in wanted}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 try:
                     got = predictor(row)
-                    values = [*[got.get(c) for c in found.names], "Success"]
+                    values = [pa.scalar(got.get(c), kind).as_py() for c, kind in kinds.items()]
+                    out.append([*values, "Success"])
                 except Exception as failure:
-                    values = [*[None] * len(found.names), f"Error: {failure}"]
-                out.append([*[row[k] for k in keys], *values])
-            yield pd.DataFrame(out, columns=schema.names)
+                    out.append([*[None] * len(kinds), f"Error: {failure}"])
+            yield _with_results(batch, keys, list(range(len(out))), schema, out)
 
-    return (df if partitions is None else df.repartition(partitions)).mapInPandas(run, schema)
+    dealt = df if partitions is None else df.repartition(partitions)
+    return dealt.mapInArrow(run, _schema(df, keys, schema))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +89,7 @@ def check_keys(
     costs two values per task.
     """
     context = F.struct(*groups["maneuver"], *groups["environment"])
-    acts = F.greatest(*[F.col(f) != NOT_MENTIONED for f in groups["maneuver"]])
+    acts = reduce(or_, [F.col(f) != NOT_MENTIONED for f in groups["maneuver"]])
     per_key = df.groupBy(F.col(key).alias("key")).agg(
         F.coalesce(F.bool_or(acts), F.lit(False)).alias("acts"),
         (~F.min(context).eqNullSafe(F.max(context))).alias("differs"),

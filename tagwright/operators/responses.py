@@ -23,10 +23,22 @@ MISSING, EXTRA, BAD_TYPE, BAD_LEVEL = "missing", "extra", "bad_type", "bad_confi
 
 
 def _strict(json_col: str) -> Column:
-    """The answer inside an array: text after the JSON value then makes it invalid too."""
+    """The text inside an array: text after the JSON value then makes it invalid too."""
     return F.concat(F.lit("["), F.col(json_col), F.lit("]"))
 
 
+def _decoded(json_col: str, schema: T.StructType) -> Column:
+    return F.from_json(_strict(json_col), T.ArrayType(schema), {"allowSingleQuotes": "false"})
+
+
+def parse_json(df: DataFrame, json_col: str, schema: str, out: str) -> DataFrame:
+    """Add ``out`` with the object in ``json_col``, and ``<out>_ok``: it is one JSON object."""
+    found = df.withColumn("__found", _decoded(json_col, T.StructType.fromDDL(schema)))
+    single = F.try_element_at("__found", F.lit(1))
+    valid = F.coalesce((F.size("__found") == 1) & single.isNotNull(), F.lit(False))
+    return found.withColumns({out: F.when(valid, single), f"{out}_ok": valid}).drop("__found")
+
+
 def decode_responses(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,11 +51,7 @@ def decode_responses(
     fields and that status. Values of other types are read as text and unknown
     fields are dropped; ``check_responses`` reports both.
     """
-    answer = T.ArrayType(response_type(vocab))
-    decoded = df.select(
-        *keys,
-        F.from_json(_strict(json_col), answer, {"allowSingleQuotes": "false"}).alias("__answers"),
-    )
+    decoded = df.select(*keys, _decoded(json_col, response_type(vocab)).alias("__answers"))
     single = F.try_element_at("__answers", F.lit(1))
     rows = single["rows"]
     status = (
