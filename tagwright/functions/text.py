@@ -1,7 +1,14 @@
-"""Column functions on text: stripping, tokens, vocabulary matching, unwrapping."""
+"""Text functions: stripping, tokens, vocabulary matching, unwrapping.
+
+Small functions take and return columns. Expressions generated from a vocabulary
+are built as SQL text: they have many nodes, and a Python call per node would
+take longer than a query.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,90 +23,98 @@ WHITESPACE = (
 EXACT, FUZZY, UNKNOWN = "exact", "fuzzy", "oov"
 
 
-def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITESPACE))
+# ---- SQL text ---------------------------------------------------------------
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def is_blank(col: Column) -> Column:
+def named(column: str) -> str:
+    """A SQL column name."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def blank_sql(cell: str) -> str:
     """True for NULL and for text with nothing but whitespace."""
-    return F.coalesce(strip(col) == "", F.lit(True))
+    return f"coalesce(trim(BOTH {quoted(WHITESPACE)} FROM {cell}) = '', true)"
 
 
-def filled(col: Column, default: str = NOT_MENTIONED) -> Column:
+def filled(cell: str, default: str = NOT_MENTIONED) -> str:
     """NULL or empty text becomes ``default``; whitespace alone is left as it is."""
-    return F.when(col.isNull() | (col == ""), F.lit(default)).otherwise(col)
+    return f"coalesce(nullif({cell}, ''), {quoted(default)})"
+
 
+def normal_form(cell: str) -> str:
+    """Stripped, lower case, with ``_`` for spaces and hyphens."""
+    stripped = f"trim(BOTH {quoted(WHITESPACE)} FROM {cell})"
+    return f"replace(replace(lower({stripped}), ' ', '_'), '-', '_')"
 
-def tokens(col: Column) -> Column:
+
+def normal_form_of(cell: str, values: Sequence[str]) -> str:
+    """``normal_form``, but cells that are a vocabulary value already are not worked on."""
+    ready = [v for v in values if v and v == v.strip().lower() and not set(v) & set(" -,")]
+    if not ready:
+        return normal_form(cell)
+    known = ", ".join(map(quoted, ready))
+    return f"CASE WHEN {cell} IN ({known}) THEN {cell} ELSE {normal_form(cell)} END"
+
+
+def tokens(cell: str) -> str:
     """``"Turn Left, u-turn"`` → ``["turn_left", "u_turn"]``; never an empty array."""
-    return F.transform(
-        F.split(col, ",", -1), lambda t: F.translate(F.lower(strip(t)), " -", "__")
-    )
+    return f"transform(split({cell}, ',', -1), part -> {normal_form('part')})"
+
 
+def _exact_or_blank(token: str, values: Sequence[str]) -> str:
+    blank = NOT_MENTIONED if NOT_MENTIONED in values else values[0]
+    known = ", ".join(map(quoted, values))
+    return f"CASE WHEN {token} IN ({known}) THEN {token} WHEN {token} = '' THEN {quoted(blank)}"
 
-def nearest(token: Column, values: list[str]) -> Column:
+
+def nearest(token: str, values: Sequence[str]) -> str:
     """The vocabulary value for a token, or NULL.
 
     An exact value wins. Otherwise the first value, in vocabulary order, that
     contains the token or is contained in it. A blank token counts as not mentioned.
     """
-    blank = NOT_MENTIONED if NOT_MENTIONED in values else values[0]
-    alike = F.filter(
-        F.array(*[F.lit(v) for v in values]), lambda v: F.contains(v, token) | F.contains(token, v)
-    )
-    return (
-        F.when(token.isin(values), token)
-        .when(token == "", F.lit(blank))
-        .otherwise(F.try_element_at(alike, F.lit(1)))
+    alike = " ".join(
+        f"WHEN contains({v}, {token}) OR contains({token}, {v}) THEN {v}" for v in map(quoted, values)
     )
+    return f"{_exact_or_blank(token, values)} {alike} END"
 
 
-def outcomes(col: Column, field: str, values: list[str]) -> Column:
-    """``ARRAY<STRUCT<field, token, outcome, value>>``, one element per token of the cell.
-
-    Most cells hold one valid value; those skip the splitting and matching.
-    """
-
-    def entry(token: Column, outcome: Column, value: Column) -> Column:
-        return F.struct(
-            F.lit(field).alias("field"),
-            token.alias("token"),
-            outcome.alias("outcome"),
-            value.alias("value"),
-        )
-
-    def judged(pair: Column) -> Column:
-        token, hit = pair["token"], pair["hit"]
-        outcome = (
-            F.when(hit == token, F.lit(EXACT)).when(hit.isNotNull(), F.lit(FUZZY)).otherwise(UNKNOWN)
-        )
-        return entry(token, outcome, F.coalesce(hit, token))
-
-    matched = F.transform(
-        tokens(col), lambda t: F.struct(t.alias("token"), nearest(t, values).alias("hit"))
-    )
-    return F.when(col.isin(values), F.array(entry(col, F.lit(EXACT), col))).otherwise(
-        F.transform(matched, judged)
+def judged(field: str, token: str, hit: str) -> str:
+    """``STRUCT<field, token, outcome, value>``; a token without a hit keeps its own text."""
+    return (
+        f"named_struct('field', {quoted(field)}, 'token', {token}, 'outcome', "
+        f"CASE WHEN {hit} = {token} THEN '{EXACT}' WHEN {hit} IS NOT NULL THEN '{FUZZY}' "
+        f"ELSE '{UNKNOWN}' END, 'value', coalesce({hit}, {token}))"
     )
 
 
-def cleaned(outcome_array: Column) -> Column:
-    """The tokens of a cell joined again, repeats and order kept."""
-    return F.array_join(F.transform(outcome_array, lambda o: o["value"]), ",")
+def judged_tokens(cell: str, field: str, values: Sequence[str]) -> str:
+    """``ARRAY`` of ``judged``, one element per token of the cell."""
+    known = ", ".join(map(quoted, values))
+    alike = f"filter(array({known}), v -> contains(v, token) OR contains(token, v))"
+    hit = f"{_exact_or_blank('token', values)} ELSE try_element_at({alike}, 1) END"
+    pairs = f"transform({tokens(cell)}, token -> named_struct('token', token, 'hit', {hit}))"
+    return f"transform({pairs}, pair -> {judged(field, 'pair.token', 'pair.hit')})"
 
 
-def warnings_of(*outcome_arrays: Column) -> Column:
-    """All entries that are not exact, in field order."""
-    return F.filter(F.concat(*outcome_arrays), lambda o: o["outcome"] != EXACT)
+NO_OUTCOMES = (
+    "CAST(array() AS ARRAY<STRUCT<field: STRING, token: STRING, outcome: STRING, value: STRING>>)"
+)
 
 
-def warning_text(outcome: Column) -> Column:
+def warning_text(outcome: str) -> str:
     # The two warning formats.
-    head = F.concat(outcome["field"], F.lit(": '"), outcome["token"])
-    return F.when(
-        outcome["outcome"] == FUZZY,
-        F.concat(head, F.lit("' → fuzzy matched to '"), outcome["value"], F.lit("'")),
-    ).otherwise(F.concat(head, F.lit("' NOT in vocabulary")))
+    fuzzy = f"concat({outcome}.field, ': \\'', {outcome}.token, '\\' → fuzzy matched to \\'', {outcome}.value, '\\'')"
+    unknown = f"concat({outcome}.field, ': \\'', {outcome}.token, '\\' NOT in vocabulary')"
+    return f"CASE {outcome}.outcome WHEN '{FUZZY}' THEN {fuzzy} ELSE {unknown} END"
+
+
+# ---- columns again ----------------------------------------------------------
 
 
 def unwrapped(col: Column) -> Column:

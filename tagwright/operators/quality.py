@@ -9,7 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.functions.text import UNKNOWN, filled, is_blank, outcomes
+from tagwright.functions.text import UNKNOWN, blank_sql, named
+from tagwright.operators.validate import Judged
 from tagwright.vocabulary import (
     CONFIDENCE,
     CONFIDENCE_LEVELS,
@@ -39,44 +40,41 @@ def check_rows(
     No agent but agent details; high confidence with notes; a confidence outside
     its levels; a value outside the vocabulary.
     """
+    judged = Judged(df, vocab)
     agent, *details = groups["agent"]
-    mentioned = [F.when(F.col(f) != NOT_MENTIONED, F.concat_ws("=", F.lit(f), f)) for f in details]
-    unknown = F.transform(
-        F.filter(
-            F.concat(*[outcomes(filled(F.col(f)), f, v) for f, v in vocab.items()]),
-            lambda o: o["outcome"] == UNKNOWN,
+    shown = ", ".join(f"CASE WHEN {d} <> '{NOT_MENTIONED}' THEN '{d}=' || {d} END" for d in details)
+    levels = ", ".join(f"'{level}'" for level in CONFIDENCE_LEVELS)
+    rules = {
+        AGENT_DETAILS: (
+            f"{agent} = '{NOT_MENTIONED}' AND coalesce({shown}) IS NOT NULL",
+            f"concat_ws(',', {shown})",
         ),
-        lambda o: F.concat_ws("=", o["field"], o["token"]),
-    )
-
-    def violation(rule: str, broken: Column, detail: Column) -> Column:
-        return F.when(broken, F.struct(F.lit(rule).alias("rule"), detail.alias("detail")))
-
-    found = F.concat(
-        F.array(
-            violation(
-                AGENT_DETAILS,
-                (F.col(agent) == NOT_MENTIONED) & F.coalesce(*mentioned).isNotNull(),
-                F.concat_ws(",", *mentioned),
-            ),
-            violation(
-                HIGH_WITH_NOTES,
-                (F.col(CONFIDENCE) == "high") & ~is_blank(F.col(NOTES)),
-                F.col(NOTES),
-            ),
-            violation(
-                BAD_LEVEL,
-                ~F.coalesce(F.col(CONFIDENCE).isin(CONFIDENCE_LEVELS), F.lit(False)),
-                F.col(CONFIDENCE),
-            ),
-        ),
-        F.transform(
-            unknown,
-            lambda text: F.struct(F.lit(OUT_OF_VOCABULARY).alias("rule"), text.alias("detail")),
+        HIGH_WITH_NOTES: (
+            f"{CONFIDENCE} = 'high' AND NOT {blank_sql(NOTES)}",
+            NOTES,
         ),
+        BAD_LEVEL: (f"NOT coalesce({CONFIDENCE} IN ({levels}), false)", CONFIDENCE),
+    }
+    unknown = f"filter(__warnings, w -> w.outcome = '{UNKNOWN}')"
+    found = ", ".join(
+        f"CASE WHEN {broken} THEN named_struct('rule', '{rule}', 'detail', {detail}) END"
+        for rule, (broken, detail) in rules.items()
+    )
+    strange = (
+        f"transform({unknown}, w -> named_struct('rule', '{OUT_OF_VOCABULARY}', "
+        "'detail', w.field || '=' || w.token))"
+    )
+    any_broken = " OR ".join(f"({broken})" for broken, _ in rules.values())
+    # No filter on clean rows: Spark would move it below the matching and match twice.
+    violations = (
+        f"CASE WHEN size(__warnings) > 0 OR {any_broken} "
+        f"THEN array_compact(concat(array({found}), {strange})) END"
+    )
+    return (
+        judged.rows.selectExpr("*", f"{judged.warnings()} AS __warnings")
+        .selectExpr(f"{named(key)} AS key", f"inline({violations})")
+        .select("rule", "key", "detail")
     )
-    broken = df.select(F.col(key).alias("key"), F.inline(F.array_compact(found)))
-    return broken.select("rule", "key", "detail")
 
 
 def check_keys(

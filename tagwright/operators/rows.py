@@ -8,12 +8,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.functions.text import is_blank
+from tagwright.functions.text import blank_sql, named
 
 
 def non_blank(df: DataFrame, col: str) -> DataFrame:
     """Rows whose text is neither NULL nor only whitespace."""
-    return df.filter(~is_blank(F.col(col)))
+    return df.filter(f"NOT {blank_sql(named(col))}")
 
 
 def first_rows(df: DataFrame, order: str | list[str], n: int | None) -> DataFrame:

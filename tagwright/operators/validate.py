@@ -2,34 +2,115 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import (
     EXACT,
-    cleaned,
+    NO_OUTCOMES,
     filled,
-    outcomes,
+    judged,
+    judged_tokens,
+    named,
+    nearest,
+    normal_form_of,
+    quoted,
     tokens,
     warning_text,
-    warnings_of,
 )
+from tagwright.operators.skew import salted_join
 from tagwright.vocabulary import CONFIDENCE, FAILED, NOT_MENTIONED, NOTES, VOCABULARY
 
 Vocabulary = dict[str, list[str]]
 
 
+class Judged:
+    """A table whose vocabulary cells have been compared with their vocabularies.
+
+    Most cells hold one token. Those are matched by plain CASE expressions, which
+    Spark compiles; only a cell with a comma goes through array functions. Each
+    step is a projection of its own, so that later ones reuse its columns
+    instead of repeating the work. The methods give SQL text over ``rows``.
+    """
+
+    def __init__(self, df: DataFrame, vocab: Vocabulary, columns: dict[str, str] | None = None):
+        """``columns`` names the column of each field where it is not the field itself."""
+        self.vocab = vocab
+        source = {f: (columns or {}).get(f, f) for f in vocab}
+        cells = {
+            f: filled(named(c)) if c in df.columns else quoted(NOT_MENTIONED)
+            for f, c in source.items()
+        }
+        self.rows = df.selectExpr(
+            "*", *[f"{normal_form_of(cells[f], v)} AS {self._token(f)}" for f, v in vocab.items()]
+        ).selectExpr(
+            "*",
+            *[
+                f"CASE WHEN NOT {self._many(f)} THEN {nearest(self._token(f), v)} END AS {self._hit(f)}"
+                for f, v in vocab.items()
+            ],
+            *[
+                f"CASE WHEN {self._many(f)} THEN {judged_tokens(cells[f], f, v)} END AS {self._all(f)}"
+                for f, v in vocab.items()
+            ],
+        )
+
+    @staticmethod
+    def _token(field: str) -> str:
+        return named(f"__token_{field}")
+
+    @staticmethod
+    def _hit(field: str) -> str:
+        return named(f"__hit_{field}")
+
+    @staticmethod
+    def _all(field: str) -> str:
+        return named(f"__all_{field}")
+
+    def _many(self, field: str) -> str:
+        return f"contains({self._token(field)}, ',')"
+
+    def _one(self, field: str) -> str:
+        return f"array({judged(field, self._token(field), self._hit(field))})"
+
+    def value(self, field: str) -> str:
+        """The cleaned cell: its tokens joined again, repeats and order kept."""
+        joined = f"array_join(transform({self._all(field)}, o -> o.value), ',')"
+        single = f"coalesce({self._hit(field)}, {self._token(field)})"
+        return f"CASE WHEN {self._many(field)} THEN {joined} ELSE {single} END"
+
+    def outcomes(self) -> str:
+        """``ARRAY<STRUCT<field, token, outcome, value>>``, one element per token of each field."""
+        each = [
+            f"CASE WHEN {self._many(f)} THEN {self._all(f)} ELSE {self._one(f)} END" for f in self.vocab
+        ]
+        return f"concat({', '.join(each)})"
+
+    def warnings(self) -> str:
+        """The outcomes that are not exact, in vocabulary order."""
+        exact = {f: f"{self._hit(f)} = {self._token(f)}" for f in self.vocab}
+        each = [
+            f"CASE WHEN {exact[f]} THEN {NO_OUTCOMES} WHEN {self._many(f)} "
+            f"THEN filter({self._all(f)}, o -> o.outcome <> '{EXACT}') ELSE {self._one(f)} END"
+            for f in self.vocab
+        ]
+        return (
+            f"CASE WHEN {' AND '.join(exact.values())} THEN {NO_OUTCOMES} "
+            f"ELSE concat({', '.join(each)}) END"
+        )
+
+
 def clean_column(
     df: DataFrame, col: str, values: list[str], out: str, field: str | None = None
 ) -> DataFrame:
     """Add the cleaned text as ``out`` and the per-token record as ``<out>_outcomes``."""
-    found = f"{out}_outcomes"
-    checked = outcomes(filled(F.col(col)), field or col, values)
-    return df.withColumn(found, checked).withColumn(out, cleaned(F.col(found)))
-
-
-def _column(df: DataFrame, name: str, default: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(default)
+    name, record = field or col, f"{out}_outcomes"
+    found = Judged(df, {name: values}, {name: col})
+    return found.rows.selectExpr(
+        *[named(c) for c in df.columns if c not in (out, record)],
+        f"{found.value(name)} AS {named(out)}",
+        f"{found.outcomes()} AS {named(record)}",
+    )
 
 
 def validate_rows(
@@ -46,33 +127,28 @@ def validate_rows(
     becomes ``medium``. Rows that failed annotation must not be passed in: see
     ``without_failed``.
     """
-    mark = "__outcomes_{}".format
-    others = [c for c in df.columns if c not in vocab]
-    checked = df.select(
-        *others,
-        *[
-            outcomes(filled(_column(df, f, NOT_MENTIONED)), f, values).alias(mark(f))
-            for f, values in vocab.items()
-        ],
-    )
-    order = [*df.columns, *[f for f in vocab if f not in df.columns]]
-    values = checked.select(
-        *[cleaned(F.col(mark(c))).alias(c) if c in vocab else c for c in order],
-        warnings_of(*[F.col(mark(f)) for f in vocab]).alias("warnings"),
-    )
-    level = F.coalesce(_column(values, confidence, "low"), F.lit("low"))
-    said = F.coalesce(_column(values, notes, ""), F.lit(""))
-    report = F.concat(
-        F.lit("VALIDATION: "), F.array_join(F.transform("warnings", warning_text), "; ")
+
+    def given(column: str, default: str) -> str:
+        there = column in df.columns
+        return f"coalesce({named(column)}, {quoted(default)})" if there else quoted(default)
+
+    found = Judged(df, vocab)
+    order = list(dict.fromkeys([*df.columns, *vocab, confidence, notes]))
+    cleaned = {f: found.value(f) for f in vocab}
+    cleaned |= {confidence: given(confidence, "low"), notes: given(notes, "")}
+    values = found.rows.selectExpr(
+        *[f"{cleaned.get(c, named(c))} AS {named(c)}" for c in order],
+        f"{found.warnings()} AS warnings",
     )
-    doubtful = F.size("warnings") > 0
-    return values.withColumns(
-        {
-            confidence: F.when(doubtful & (level == "high"), F.lit("medium")).otherwise(level),
-            notes: F.when(
-                doubtful, F.concat_ws("; ", F.nullif(said, F.lit("")), report)
-            ).otherwise(said),
-        }
+    texts = f"array_join(transform(warnings, w -> {warning_text('w')}), '; ')"
+    report = f"concat_ws('; ', nullif({named(notes)}, ''), concat('VALIDATION: ', {texts}))"
+    level = named(confidence)
+    after = {
+        confidence: f"CASE WHEN size(warnings) > 0 AND {level} = 'high' THEN 'medium' ELSE {level} END",
+        notes: f"CASE WHEN size(warnings) > 0 THEN {report} ELSE {named(notes)} END",
+    }
+    return values.selectExpr(
+        *[f"{after.get(c, named(c))} AS {named(c)}" for c in [*order, "warnings"]]
     )
 
 
@@ -83,9 +159,8 @@ def without_failed(df: DataFrame, marker: str = "maneuver_lat") -> DataFrame:
 
 def token_outcomes(df: DataFrame, vocab: Vocabulary = VOCABULARY) -> DataFrame:
     """One row per token of every vocabulary field: ``(field, token, outcome, value)``."""
-    present = [f for f in vocab if f in df.columns]
-    found = F.concat(*[outcomes(filled(F.col(f)), f, vocab[f]) for f in present])
-    return df.select(F.inline(found))
+    found = Judged(df, {f: v for f, v in vocab.items() if f in df.columns})
+    return found.rows.selectExpr(f"inline({found.outcomes()})")
 
 
 def outcome_counts(df: DataFrame, vocab: Vocabulary = VOCABULARY) -> DataFrame:
@@ -106,9 +181,8 @@ def lookup_values(df: DataFrame, col: str, vocabulary: DataFrame, field: str) ->
     """Exact membership as a join, for vocabularies too large for a literal.
 
     Explodes the cell into tokens and adds ``token`` and ``known``. The
-    vocabulary is reduced to distinct values first, so rows never multiply. The
-    join is left to Spark: it broadcasts a vocabulary below
-    ``spark.sql.autoBroadcastJoinThreshold`` and splits hot tokens otherwise.
+    vocabulary is reduced to distinct values first, so rows never multiply, and
+    a token that makes up much of the table is spread over several tasks.
     """
     values = (
         vocabulary.filter(F.col("field") == field)
@@ -116,19 +190,8 @@ def lookup_values(df: DataFrame, col: str, vocabulary: DataFrame, field: str) ->
         .distinct()
         .withColumn("known", F.lit(True))
     )
-    exploded = df.withColumn("token", F.explode(tokens(filled(F.col(col)))))
-    return exploded.join(values, "token", "left").withColumn(
+    exploded = df.selectExpr("*", f"explode({tokens(filled(named(col)))}) AS token")
+    return salted_join(exploded, values, "token", "left").withColumn(
         "known", F.coalesce("known", F.lit(False))
     )
 
-
-__all__ = [
-    "EXACT",
-    "clean_column",
-    "long_view",
-    "lookup_values",
-    "outcome_counts",
-    "token_outcomes",
-    "validate_rows",
-    "without_failed",
-]

@@ -663,7 +663,7 @@ def unwrap_trace(spark, folder):
 
 DOCUMENT_RULES = [
     ("notice", r"(?i)license", "license"),
-    ("contact", r"[\w.]+@[\w.]+", "mail"),
+    ("contact", r"[\w.]@[\w.]", "mail"),
     ("contact", r"\d{3}[- ]\d{3,4}", "number"),
 ]
 PAGE_RULES = [
