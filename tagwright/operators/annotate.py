@@ -17,6 +17,8 @@ from tagwright.vocabulary import CONFIDENCE, NOT_MENTIONED, NOTES, VOCABULARY, r
 
 Rule = tuple[str, str, str]
 
+PIECE_ROWS = 256
+
 # (field, pattern, value): wording that settles a driving label on its own.
 DRIVING_RULES: list[Rule] = [
     ("maneuver_long", r"(?i)\b(distance|gap) to the lead\b|\bfollow\w* the lead\b", "lead_obstacle_following"),
@@ -116,6 +118,13 @@ def _with_results(
     return pa.RecordBatch.from_arrays([*kept.columns, *found], names=[*keys, *results.names])
 
 
+def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut small: few rows are Python objects at a time, and results flow out early."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS)
+
+
 def _schema(df: DataFrame, keys: Sequence[str], results: T.StructType) -> T.StructType:
     return T.StructType([*[df.schema[k] for k in keys], *results])
 
@@ -154,7 +163,7 @@ def annotate(
         return None if value is None else str(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_pieces(batches):
             picks, out = [], []
             for i, row in enumerate(batch.to_pylist()):
                 rows, used, error = with_retries(
@@ -191,7 +200,7 @@ def predict(
     kinds = {f.name: to_arrow_type(f.dataType) for f in wanted}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_pieces(batches):
             out = []
             for row in batch.to_pylist():
                 try:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagwright.functions.text import named
 from tagwright.operators.skew import HOT_ROWS, Ordered, bounded_lists
 from tagwright.vocabulary import VOCABULARY, response_json_schema
 
@@ -108,9 +109,9 @@ def messages_from_turns(
     ``start``, the 0-based index of its first message.
     """
     turns = Ordered(df.select(*keys, turn, role, text), keys, [turn, role, text], 1, hot_rows)
-    placed = turns.own_rows(turns.rows.withColumn("position", turns.position))
-    lists = {"messages": message(F.col(role), F.col(text))}
-    return bounded_lists(placed, turns.group, "position", max_turns, lists)
+    placed = turns.own_rows(turns.rows.selectExpr("*", f"{turns.position} AS position"))
+    said = f"named_struct('role', {named(role)}, 'content', {named(text)})"
+    return bounded_lists(placed, turns.group, "position", max_turns, {"messages": said})
 
 
 def with_first_text(messages: Column, text: Column) -> Column:

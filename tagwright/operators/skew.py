@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagwright.functions.text import named
+
 HOT_ROWS = 5_000_000
 SALTS = 16
 
@@ -27,24 +27,31 @@ def salted_join(
     the input partition, which a retried task cannot change.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = left.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    copies = right.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS {_SALT}")
+    spread = left.selectExpr("*", f"pmod(spark_partition_id(), {salts}) AS {_SALT}")
     return spread.join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
+def _as_number(kind: T.DataType, column: str) -> str:
     """A number that never decreases along the order of the column."""
-    kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.NumericType):
-        return col.cast("double")
+        return f"CAST({column} AS DOUBLE)"
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
+        return f"CAST(unix_micros({column}) AS DOUBLE)"
     if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
+        return f"CAST(unix_date({column}) AS DOUBLE)"
     if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(F.to_date(col)) * 86400.0 + clock).cast("double")
-    raise TypeError(f"cannot order by {name}: {kind.simpleString()} is no number, date or timestamp")
+        clock = f"hour({column}) * 3600 + minute({column}) * 60 + second({column})"
+        return f"CAST(unix_date(CAST({column} AS DATE)) AS DOUBLE) * 86400 + {clock}"
+    raise TypeError(f"cannot order by {column}: {kind.simpleString()} is no number, date or timestamp")
+
+
+def _same(keys: Sequence[str], prefix: str) -> str:
+    return " AND ".join(f"{named(k)} <=> {named(prefix + k)}" for k in keys)
+
+
+def _list(columns: Sequence[str], suffix: str = "") -> str:
+    return ", ".join(named(c) + suffix for c in columns)
 
 
 def _with_slice(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame:
@@ -53,58 +60,63 @@ def _with_slice(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -
     A key is hot if it has more than ``hot_rows`` rows, so there are at most
     rows / hot_rows hot keys: that bounds what is broadcast here.
     """
-    place = _as_number(df, order)
+    place = _as_number(df.schema[order].dataType, named(order))
     hot = (
-        df.groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys])
-        .agg(F.count("*").alias("__n"), F.min(place).alias("__lo"), F.max(place).alias("__hi"))
-        .filter(F.col("__n") > hot_rows)
+        df.groupBy(*keys)
+        .agg(
+            F.expr("count(*) AS __n"),
+            F.expr(f"min({place}) AS __lo"),
+            F.expr(f"max({place}) AS __hi"),
+        )
+        .filter(f"__n > {hot_rows}")
+        .selectExpr(*[f"{named(k)} AS {named('__hot_' + k)}" for k in keys], "__n", "__lo", "__hi")
     )
-    share = F.try_divide(place - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-    cut = F.floor(share * F.ceil(F.col("__n") / hot_rows))
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    return df.join(F.broadcast(hot), same, "left").select(
-        *df.columns,
-        F.when(F.col("__n").isNull(), F.lit(0)).otherwise(F.coalesce(cut, F.lit(-1))).alias(_SLICE),
-        F.col("__n").isNotNull().alias("__is_hot"),
+    cut = f"floor(try_divide({place} - __lo, __hi - __lo) * ceil(__n / {hot_rows}))"
+    return df.join(F.broadcast(hot), F.expr(_same(keys, "__hot_")), "left").selectExpr(
+        *[named(c) for c in df.columns],
+        f"CASE WHEN __n IS NULL THEN 0 ELSE coalesce({cut}, -1) END AS {_SLICE}",
+        "__n IS NOT NULL AS __is_hot",
     )
 
 
 def _edge_rows(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The ``n`` rows before each slice, labelled with that slice and with their position."""
-    columns = [c for c in hot.columns if c != _SLICE]
-    ends = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
-    last = hot.withColumn("__back", F.row_number().over(ends)).filter(F.col("__back") <= n)
-    slices = Window.partitionBy(*keys).orderBy(_SLICE)
-    upto = hot.groupBy(*keys, _SLICE).agg(F.count("*").alias("__rows"))
-    upto = upto.withColumn("__upto", F.sum("__rows").over(slices)).select(
-        *[F.col(k).alias(f"__end_{k}") for k in keys], F.col(_SLICE).alias("__end"), "__upto"
+    backwards = f"OVER (PARTITION BY {_list(keys)}, {_SLICE} ORDER BY {_list(order, ' DESC')})"
+    last = hot.selectExpr("*", f"row_number() {backwards} AS __back").filter(f"__back <= {n}")
+    upto = (
+        hot.groupBy(*keys, _SLICE)
+        .agg(F.expr("count(*) AS __rows"))
+        .selectExpr(
+            *[f"{named(k)} AS {named('__end_' + k)}" for k in keys],
+            f"{_SLICE} AS __end",
+            f"sum(__rows) OVER (PARTITION BY {_list(keys)} ORDER BY {_SLICE}) AS __upto",
+        )
     )
-    same = [F.col(k).eqNullSafe(F.col(f"__end_{k}")) for k in keys]
-    placed = last.join(upto, reduce(and_, same) & (F.col(_SLICE) == F.col("__end")))
-    row = F.struct(*columns, (F.col("__upto") - F.col("__back")).alias(_AT))
-    along = Window.partitionBy(*keys).orderBy(*order)
+    placed = last.join(upto, F.expr(f"{_same(keys, '__end_')} AND {_SLICE} = __end"))
+    columns = [c for c in hot.columns if c != _SLICE]
+    row = f"struct({_list(columns)}, __upto - __back AS {_AT})"
+    along = f"OVER (PARTITION BY {_list(keys)} ORDER BY {_list(order)})"
+    earlier = ", ".join(f"lag({row}, {i}) {along}" for i in range(1, n + 1))
     return (
-        placed.select(
-            *keys,
-            *[c for c in order if c not in keys],
+        placed.selectExpr(
             _SLICE,
-            F.lag(_SLICE).over(along).alias("__before"),
-            F.array_compact(F.array(*[F.lag(row, i).over(along) for i in range(1, n + 1)])).alias(
-                "__rows"
-            ),
+            f"lag({_SLICE}) {along} AS __before",
+            f"array_compact(array({earlier})) AS __rows",
         )
-        .filter(F.col("__before") != F.col(_SLICE))
-        .select(_SLICE, F.explode("__rows").alias("__row"))
-        .select("__row.*", _SLICE)
+        .filter(f"__before <> {_SLICE}")
+        .selectExpr(_SLICE, "inline(__rows)")
+        .selectExpr(*[named(c) for c in columns], _AT, _SLICE)
     )
 
 
 class Ordered:
     """Rows of each key in order, cut so that no task has to take a whole hot key.
 
-    ``window`` covers one slice. Every slice but the first of a key starts with
-    the last ``context`` rows before it, so ``lag`` up to that distance and
-    ``position`` are the same as over the whole key. Finish with ``own_rows``.
+    ``over`` is the SQL window of one slice. Every slice but the first of a key
+    starts with the last ``context`` rows before it, so ``lag`` up to that
+    distance and ``position`` are the same as over the whole key. Finish with
+    ``own_rows``. ``df`` is read more than once: pass a table, or what is cheap
+    to compute from one.
     """
 
     def __init__(
@@ -116,44 +128,43 @@ class Ordered:
         hot_rows: int = HOT_ROWS,
     ):
         cut = _with_slice(df, keys, order[0], hot_rows)
-        hot = cut.filter("__is_hot").drop("__is_hot")
-        edges = _edge_rows(hot, keys, order, context)
-        self.rows = (
-            cut.drop("__is_hot")
-            .withColumns({_AT: F.lit(None).cast("long"), _CONTEXT: F.lit(False)})
-            .unionByName(edges.withColumn(_CONTEXT, F.lit(True)))
-        )
+        edges = _edge_rows(cut.filter("__is_hot").drop("__is_hot"), keys, order, context)
+        columns = [named(c) for c in df.columns]
+        self.rows = cut.selectExpr(
+            *columns, f"CAST(NULL AS BIGINT) AS {_AT}", _SLICE, f"false AS {_CONTEXT}"
+        ).union(edges.selectExpr(*columns, _AT, _SLICE, f"true AS {_CONTEXT}"))
         self.group = [*keys, _SLICE]
-        self.window = Window.partitionBy(*self.group).orderBy(*order)
+        self.over = f"OVER (PARTITION BY {_list(self.group)} ORDER BY {_list(order)})"
 
     @property
-    def position(self) -> Column:
+    def position(self) -> str:
         """0-based position of the row within its key."""
-        start = F.first(_AT).over(self.window.rowsBetween(Window.unboundedPreceding, 0))
-        return F.coalesce(start, F.lit(0)) + F.row_number().over(self.window) - 1
+        start = f"first({_AT}) {self.over[:-1]} ROWS UNBOUNDED PRECEDING)"
+        return f"coalesce({start}, 0) + row_number() {self.over} - 1"
 
     @staticmethod
     def own_rows(df: DataFrame) -> DataFrame:
-        return df.filter(~F.col(_CONTEXT)).drop(_CONTEXT, _AT)
+        return df.filter(f"NOT {_CONTEXT}").drop(_CONTEXT, _AT)
 
 
 def bounded_lists(
-    df: DataFrame, group: Sequence[str], position: str, size: int, lists: dict[str, Column]
+    df: DataFrame, group: Sequence[str], position: str, size: int, lists: dict[str, str]
 ) -> DataFrame:
-    """Lists in position order, at most ``size`` elements each.
+    """Lists of SQL expressions in position order, at most ``size`` elements each.
 
     ``group`` is the ``group`` of an ``Ordered``; grouping by it and a piece
     number needs no further shuffle. ``start`` is the position of the first
     element; a key with more rows than fit has several list rows.
     """
-    elements = F.struct(F.col(position).alias("at"), *[c.alias(n) for n, c in lists.items()])
-    keys = [g for g in group if g != _SLICE]
+    elements = ", ".join(f"{e} AS {named(n)}" for n, e in lists.items())
+    collected = f"array_sort(collect_list(struct({named(position)} AS at, {elements})))"
     return (
-        df.withColumn("__piece", F.floor(F.col(position) / size))
+        df.selectExpr("*", f"floor({named(position)} / {size}) AS __piece")
         .groupBy(*group, "__piece")
-        .agg(
-            F.min(position).alias("start"),
-            F.array_sort(F.collect_list(elements)).alias("__elements"),
+        .agg(F.expr(f"min({named(position)}) AS start"), F.expr(f"{collected} AS __elements"))
+        .selectExpr(
+            *[named(g) for g in group if g != _SLICE],
+            "start",
+            *[f"__elements.{named(n)} AS {named(n)}" for n in lists],
         )
-        .select(*keys, "start", *[F.col(f"__elements.{n}").alias(n) for n in lists])
     )

@@ -7,12 +7,11 @@ array of points per row, for short ones, where every operator is a projection.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagwright.functions.text import named
 from tagwright.operators.skew import _SLICE, HOT_ROWS, Ordered, bounded_lists, salted_join
 
 # Seconds per step, and the accelerations that mean full throttle and full brake.
@@ -24,24 +23,23 @@ NAN = float("nan")
 LIST_ROWS = 100_000
 
 
-def _length(parts: Sequence[Column]) -> Column:
-    return F.sqrt(reduce(add, [p * p for p in parts]))
+def _length(parts: Sequence[str]) -> str:
+    return f"sqrt({' + '.join(f'({p}) * ({p})' for p in parts)})"
 
 
-def throttle(acceleration: Column) -> Column:
+def throttle(a: str) -> str:
     """Share of full throttle, 0 unless accelerating. Spark orders NaN above 0, so it is kept out."""
-    gaining = (acceleration > 0) & ~F.isnan(acceleration)
-    share = F.least(acceleration / FULL_THROTTLE, F.lit(1.0))
-    return F.when(gaining, share).when(acceleration.isNotNull(), 0.0)
+    return (
+        f"CASE WHEN {a} > 0 AND NOT isnan({a}) THEN least({a} / {FULL_THROTTLE}D, 1D) "
+        f"WHEN {a} IS NOT NULL THEN 0D END"
+    )
 
 
-def brake(acceleration: Column) -> Column:
+def brake(a: str) -> str:
     """Share of full brake: 0 while accelerating, NaN for NaN."""
-    share = F.least(F.abs(acceleration) / FULL_BRAKE, F.lit(1.0))
     return (
-        F.when(F.isnan(acceleration), NAN)
-        .when(acceleration > 0, 0.0)
-        .when(acceleration.isNotNull(), share)
+        f"CASE WHEN isnan({a}) THEN {a} WHEN {a} > 0 THEN 0D "
+        f"WHEN {a} IS NOT NULL THEN least(abs({a}) / {FULL_BRAKE}D, 1D) END"
     )
 
 
@@ -66,19 +64,19 @@ def ade(
     The join key contains the step, so one key with many samples is spread over
     as many tasks as it has steps; the mean is pre-aggregated before its shuffle.
     """
-    true_points = truth.select(*keys, step, F.col("x").alias("__tx"), F.col("y").alias("__ty"))
-    off = _length([F.col("x") - F.col("__tx"), F.col("y") - F.col("__ty")])
+    true_points = truth.selectExpr(*map(named, [*keys, step]), "x AS __tx", "y AS __ty")
+    mean = f"avg({_length(['x - __tx', 'y - __ty'])})"
     return (
         pred.join(true_points, [*keys, step], "left")
         .groupBy(*keys, sample)
-        .agg(F.when(F.count("__tx") == F.count("*"), F.avg(off)).alias("ade"))
+        .agg(F.expr(f"CASE WHEN count(__tx) = count(*) THEN {mean} END AS ade"))
     )
 
 
 def min_ade(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Smallest ``ade`` per key; one NaN makes the result NaN."""
     return errors.groupBy(*keys).agg(
-        F.when(F.max(F.isnan("ade")), F.lit(NAN)).otherwise(F.min("ade")).alias("min_ade")
+        F.expr("CASE WHEN bool_or(isnan(ade)) THEN double('NaN') ELSE min(ade) END AS min_ade")
     )
 
 
@@ -91,32 +89,33 @@ def _kinematics(
     hot_rows: int,
 ) -> tuple[DataFrame, list[str]]:
     order = [order] if isinstance(order, str) else list(order)
-    kept = df.select(*dict.fromkeys([*keys, *order, *axes]))
-    steps = Ordered(kept, keys, order, context=2, hot_rows=hot_rows)
-
-    def moved(back: int) -> list[Column]:
-        return [F.col(f"__{a}_{back}") - F.col(f"__{a}_{back + 1}") for a in axes]
-
-    lagged = steps.rows.withColumns(
-        {
-            "position": steps.position,
-            **{f"__{a}_0": F.col(a) for a in axes},
-            **{f"__{a}_{i}": F.lag(a, i).over(steps.window) for a in axes for i in (1, 2)},
-        }
+    steps = Ordered(
+        df.select(*dict.fromkeys([*keys, *order, *axes])), keys, order, context=2, hot_rows=hot_rows
     )
-    speeds = steps.own_rows(lagged).filter("position > 0").select(
-        *steps.group,
-        *[c for c in order if c not in keys],
-        "position",
-        *[m.alias(f"d{a}") for a, m in zip(axes, moved(0))],
-        _length(moved(0)[:2]).alias("distance"),
-        (_length(moved(0)[:2]) / dt).alias("speed"),
-        (_length(moved(1)[:2]) / dt).alias("__earlier"),
+    lags = [
+        f"lag({named(a)}, {i}) {steps.over} AS {named(f'__{a}_{i}')}" for a in axes for i in (1, 2)
+    ]
+    lagged = steps.rows.selectExpr("*", f"{steps.position} AS position", *lags)
+    now = [f"{named(a)} - {named(f'__{a}_1')}" for a in axes]
+    before = [f"{named(f'__{a}_1')} - {named(f'__{a}_2')}" for a in axes]
+    kept = [named(c) for c in dict.fromkeys([*steps.group, *order])]
+    series = (
+        steps.own_rows(lagged)
+        .filter("position > 0")
+        .selectExpr(
+            *kept,
+            "position",
+            *[f"{step} AS {named('d' + a)}" for a, step in zip(axes, now)],
+            f"{_length(now[:2])} AS distance",
+            f"{_length(before[:2])} / {dt}D AS __earlier",
+        )
+        .selectExpr("*", f"distance / {dt}D AS speed")
+        .selectExpr("*", f"(speed - __earlier) / {dt}D AS acceleration")
+        .drop("__earlier")
     )
-    series = speeds.withColumn("acceleration", (F.col("speed") - F.col("__earlier")) / dt)
     return (
-        series.drop("__earlier").withColumns(
-            {"throttle": throttle(F.col("acceleration")), "brake": brake(F.col("acceleration"))}
+        series.selectExpr(
+            "*", f"{throttle('acceleration')} AS throttle", f"{brake('acceleration')} AS brake"
         ),
         steps.group,
     )
@@ -154,26 +153,20 @@ def control_lists(
     of ``start``, the 0-based index of the first value in the row.
     """
     series, group = _kinematics(df, keys, order, axes, dt, hot_rows)
-    controls = series.filter("position > 1").withColumn("position", F.col("position") - 2)
-    return bounded_lists(
-        controls,
-        group,
-        "position",
-        list_rows,
-        {
-            "speed_control": F.bround("throttle", 2),
-            "brake_control": F.bround("brake", 2),
-        },
+    controls = series.filter("position > 1").selectExpr(
+        *map(named, group), "position - 2 AS at", "throttle", "brake"
     )
+    lists = {"speed_control": "bround(throttle, 2)", "brake_control": "bround(brake, 2)"}
+    return bounded_lists(controls, group, "at", list_rows, lists)
 
 
 # ---- array layout -----------------------------------------------------------
 
 
-def _pairs(values: Column, combine) -> Column:
-    """``combine(later, earlier)`` over neighbours: n values give n - 1."""
-    n = F.greatest(F.size(values) - 1, F.lit(0))
-    return F.zip_with(F.slice(values, F.lit(2), n), F.slice(values, F.lit(1), n), combine)
+def _pairs(values: str, result: str) -> str:
+    """``result`` of each ``later`` and ``earlier`` neighbour: n values give n - 1."""
+    n = f"greatest(size({values}) - 1, 0)"
+    return f"zip_with(slice({values}, 2, {n}), slice({values}, 1, {n}), (later, earlier) -> {result})"
 
 
 def add_series(df: DataFrame, points: str = "points", dt: float = STEP_SECONDS) -> DataFrame:
@@ -181,28 +174,22 @@ def add_series(df: DataFrame, points: str = "points", dt: float = STEP_SECONDS)
 
     ``points`` is ``ARRAY<STRUCT<x, y, ...>>`` in step order. No shuffle.
     """
-
-    def speed(later: Column, earlier: Column) -> Column:
-        return _length([later["x"] - earlier["x"], later["y"] - earlier["y"]]) / dt
-
-    with_speeds = df.withColumn("speeds", _pairs(F.col(points), speed))
-    with_both = with_speeds.withColumn(
-        "accelerations", _pairs(F.col("speeds"), lambda later, earlier: (later - earlier) / dt)
-    )
-    return with_both.withColumns(
-        {
-            "speed_control": F.transform("accelerations", lambda a: F.bround(throttle(a), 2)),
-            "brake_control": F.transform("accelerations", lambda a: F.bround(brake(a), 2)),
-        }
+    moved = _length(["later.x - earlier.x", "later.y - earlier.y"])
+    return (
+        df.selectExpr("*", f"{_pairs(named(points), f'{moved} / {dt}D')} AS speeds")
+        .selectExpr("*", f"{_pairs('speeds', f'(later - earlier) / {dt}D')} AS accelerations")
+        .selectExpr(
+            "*",
+            f"transform(accelerations, a -> bround({throttle('a')}, 2)) AS speed_control",
+            f"transform(accelerations, a -> bround({brake('a')}, 2)) AS brake_control",
+        )
     )
 
 
-def points_ade(pred: Column, truth: Column) -> Column:
+def points_ade(pred: str, truth: str) -> str:
     """Mean XY distance of two point arrays; NULL if their lengths differ."""
-    off = F.zip_with(
-        pred, truth, lambda p, t: _length([p["x"] - t["x"], p["y"] - t["y"]])
-    )
-    return F.try_divide(F.aggregate(off, F.lit(0.0), lambda total, d: total + d), F.size(off))
+    off = f"zip_with({pred}, {truth}, (p, t) -> {_length(['p.x - t.x', 'p.y - t.y'])})"
+    return f"try_divide(aggregate({off}, 0D, (total, d) -> total + d), size({pred}))"
 
 
 def ade_arrays(
@@ -214,7 +201,7 @@ def ade_arrays(
     """
     target = truth.select(*keys, F.col(points).alias("__truth"))
     joined = salted_join(pred, target, keys, "left")
-    return joined.withColumn("ade", points_ade(F.col(points), F.col("__truth"))).drop("__truth")
+    return joined.selectExpr("*", f"{points_ade(named(points), '__truth')} AS ade").drop("__truth")
 
 
 def to_steps(df: DataFrame, points: str = "points", step: str = "step") -> DataFrame:

@@ -96,6 +96,11 @@ def csv_fixed_columns(spark, folder):
     return files.read_csv(spark, path, schema, columns)
 
 
+@query("SELECT doc_id FROM documents")
+def one_column(spark, folder):
+    return files.read_column(spark, f"{folder}/documents.parquet", "doc_id")
+
+
 @query(
     f"""
     SELECT doc_id, line

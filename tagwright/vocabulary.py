@@ -141,6 +141,20 @@ def vocabulary_table(
     )
 
 
+def field_table(
+    spark: SparkSession,
+    definitions: dict[str, str] = FIELD_DEFINITIONS,
+    groups: dict[str, list[str]] = GROUPS,
+) -> DataFrame:
+    """The defined fields as a dimension table, one row per field."""
+    group_of = {field: group for group, fields in groups.items() for field in fields}
+    rows = [
+        (group_of.get(field), position, field, text)
+        for position, (field, text) in enumerate(definitions.items())
+    ]
+    return spark.createDataFrame(rows, "group string, position int, field string, definition string")
+
+
 def response_type(vocab: dict[str, list[str]] = VOCABULARY) -> T.StructType:
     """Spark type of a whole answer: ``rows ARRAY<STRUCT<all response fields STRING>>``."""
     row = T.StructType([T.StructField(f, T.StringType()) for f in response_fields(vocab)])

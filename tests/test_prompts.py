@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.operators import prompts as pr
-from tagwright.vocabulary import VOCABULARY, vocabulary_table
+from tagwright.vocabulary import FIELD_DEFINITIONS, VOCABULARY, field_table, vocabulary_table
 
 
 def test_prompt_text(spark):
@@ -27,6 +27,9 @@ def test_vocabulary_and_definition_blocks(spark):
         "  - **u_turn**: Planned path reversing the direction of travel."
     )
     assert len(blocks["maneuver_long"].split("\n")) == 7
+    fields = {r.group: r.block for r in pr.definition_blocks(field_table(spark), "group", value="field").collect()}
+    lines = [f"  - **{f}**: {d}" for f, d in FIELD_DEFINITIONS.items()]
+    assert fields == {"environment": "\n".join(lines[:6]), "agent": "\n".join(lines[6:])}
 
 
 @pytest.mark.parametrize("hot_rows,max_turns", [(10**6, 10**6), (10**6, 3), (4, 10**6), (2, 2)])
