@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import WHITESPACE, unwrapped
@@ -23,7 +23,7 @@ from tagwright.plans.annotation import Annotation
 from tagwright.sources import files
 from tagwright.sources.shared import shared_folder
 from tagwright.streaming.ingest import process_new_files
-from tagwright.vocabulary import vocabulary_table
+from tagwright.vocabulary import VOCABULARY, vocabulary_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,6 +319,66 @@ def validation_outcomes(spark, folder):
     return parts.unionByName(orders)
 
 
+def _line_cell(values: Sequence[str], place: int, array: str, at: str) -> str:
+    """SQL of one cell per order line: clean, two values, odd spelling, near or unknown value.
+
+    The same text for both engines but for array literals and indexing.
+    """
+    known = array.format(", ".join(f"'{v}'" for v in values))
+    value = at.format(known, f"(l_partkey + {place} * l_linenumber) % {len(values)}")
+    other = at.format(known, f"(l_suppkey + {place}) % {len(values)}")
+    return (
+        f"CASE WHEN l_discount >= 0.09 THEN {value} || ' , ' || {other} "
+        f"WHEN l_quantity > 40 THEN upper(replace({value}, '_', ' ')) "
+        f"WHEN l_tax >= 0.08 THEN 'x-' || {value} WHEN l_tax >= 0.07 THEN 'zzz' ELSE {value} END"
+    )
+
+
+_SQL_LINE_CELLS = ", ".join(
+    f"{_line_cell(values, i, '[{}]', '{}[CAST({} AS INTEGER) + 1]')} AS {field}"
+    for i, (field, values) in enumerate(VOCABULARY.items())
+)
+
+
+def _sql_checked(field: str) -> str:
+    hit = sql_hit("t", VOCABULARY[field])
+    pairs = f"list_transform({sql_tokens(field)}, lambda t: {{'t': t, 'h': {hit}}})"
+    warning = (
+        f"CASE WHEN p.h IS NULL THEN '{field}: ''' || p.t || ''' NOT in vocabulary' "
+        f"WHEN p.h <> p.t THEN '{field}: ''' || p.t || ''' → fuzzy matched to ''' || p.h || '''' END"
+    )
+    return (
+        f"array_to_string(list_transform({pairs}, lambda p: coalesce(p.h, p.t)), ',') AS {field}, "
+        f"list_filter(list_transform({pairs}, lambda p: {warning}), lambda w: w IS NOT NULL) AS w_{field}"
+    )
+
+
+@query(
+    f"""
+    WITH c AS (SELECT l_orderkey, l_linenumber, {_SQL_LINE_CELLS} FROM lineitem),
+    v AS (SELECT l_orderkey, l_linenumber, {", ".join(map(_sql_checked, VOCABULARY))} FROM c),
+    w AS (SELECT *, flatten([{", ".join(f"w_{f}" for f in VOCABULARY)}]) AS warns FROM v)
+    SELECT l_orderkey, l_linenumber, {", ".join(VOCABULARY)},
+           CASE WHEN len(warns) > 0 THEN 'medium' ELSE 'high' END AS confidence,
+           CASE WHEN len(warns) > 0 THEN 'VALIDATION: ' || array_to_string(warns, '; ') ELSE '' END
+               AS confidence_notes
+    FROM w
+    """
+)
+def driving_rows(spark, folder):
+    """All twelve driving fields of every order line, with every kind of cell."""
+    cells = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        *[
+            f"{_line_cell(values, i, 'array({})', 'element_at({}, CAST({} AS INT) + 1)')} AS {field}"
+            for i, (field, values) in enumerate(VOCABULARY.items())
+        ],
+        "'high' AS confidence",
+    )
+    return va.validate_rows(cells).drop("warnings")
+
+
 @query(
     """
     SELECT p_partkey, 'tags' AS field, unnest(string_split(p_type || ',' || p_brand, ',')) AS value
@@ -336,6 +396,12 @@ def long_view(spark, folder):
 # ---- counts and rules -------------------------------------------------------
 
 
+def _rated_labels(spark: SparkSession, folder: str) -> DataFrame:
+    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    level = F.when(good & ~toxic, "high").when(good, "low").when(toxic, "unsure").otherwise("medium")
+    return _checked_labels(spark, folder).select(level.alias("confidence"), "state")
+
+
 @query(
     """
     WITH t AS (
@@ -349,10 +415,16 @@ def long_view(spark, folder):
     """
 )
 def confidence_summary(spark, folder):
-    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
-    level = F.when(good & ~toxic, "high").when(good, "low").when(toxic, "unsure").otherwise("medium")
-    rows = _checked_labels(spark, folder).select(level.alias("confidence"), "state")
-    return qa.summary(rows, marker="state")
+    return qa.summary(_rated_labels(spark, folder), marker="state")
+
+
+@query(SQL["confidence_summary"])
+def observed_summary(spark, folder):
+    """The same counts, taken while the rows are written elsewhere."""
+    seen = Observation("summary")
+    rows = qa.observed(_rated_labels(spark, folder), seen, marker="state")
+    rows.write.parquet(shared_folder(spark, "observed_summary"))
+    return spark.createDataFrame([seen.get])
 
 
 LINE_VOCABULARY = {
@@ -846,6 +918,26 @@ def incremental_ingest(spark, folder):
     return qa.counts(spark.read.parquet(f"{base}/turns"), "role")
 
 
+@query(_SQL_PREDICTED)
+def incremental_predict(spark, folder):
+    """Predictions over a folder, committed step by step; a second run finds nothing to do."""
+    base = shared_folder(spark, "incremental_predict")
+    schema = table(spark, folder, "documents").schema
+    for _ in range(2):
+        process_new_files(
+            spark,
+            f"{folder}/documents*.parquet",
+            schema,
+            f"{base}/results",
+            f"{base}/progress",
+            lambda docs: an.predict(
+                docs.select("doc_id", "text"), ["doc_id"], _count_spaces, "spaces bigint"
+            ),
+            max_files=5,
+        )
+    return spark.read.parquet(f"{base}/results")
+
+
 # ---- trajectories -----------------------------------------------------------
 
 
