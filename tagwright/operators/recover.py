@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.operators.rows import any_contains
-from tagwright.operators.skew import salted_join
+from tagwright.operators.skew import spread_join
 from tagwright.vocabulary import FAILED
 
 
@@ -19,7 +19,7 @@ def failed_rows(df: DataFrame, pattern: str = FAILED, regex: bool = True) -> Dat
 
 def rows_of(source: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Source rows whose key occurs in ``ids``."""
-    return salted_join(source, ids.select(key).distinct(), key, "left_semi")
+    return spread_join(source, ids.select(key).distinct(), key, "left_semi")
 
 
 def recover(
@@ -40,7 +40,7 @@ def recover(
 
 def missing(inputs: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
     """Input rows whose key has no output row."""
-    return salted_join(inputs, outputs.select(key).distinct(), key, "left_anti")
+    return spread_join(inputs, outputs.select(key).distinct(), key, "left_anti")
 
 
 def merge_repaired(base: DataFrame, fixed: DataFrame, key: str) -> DataFrame:

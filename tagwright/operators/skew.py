@@ -11,25 +11,26 @@ from pyspark.sql import types as T
 from tagwright.functions.text import named
 
 HOT_ROWS = 5_000_000
-SALTS = 16
 
-_SALT, _SLICE, _CONTEXT, _AT = "__salt", "__slice", "__context", "__at"
+_MARK, _SLICE, _CONTEXT, _AT = "__mark", "__slice", "__context", "__at"
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str, salts: int = SALTS
+def spread_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
 ) -> DataFrame:
-    """Equi-join in which the rows of one left key go to ``salts`` tasks, not to one.
-
-    ``right`` is copied ``salts`` times, so it should hold one row per key.
-    Spark's own skew handling does not apply there: it wants both sides straight
-    from a shuffle, and a side that was just made distinct is not. The salt is
-    the input partition, which a retried task cannot change.
+    """Equi-join with one row per key on the right, in which hot left keys can be split.
+
+    Adaptive execution splits a hot partition only if both sides of the join come
+    straight from a shuffle. A side that was just made distinct does not: Spark
+    sees that it is partitioned by the key already and leaves the shuffle out.
+    Joining on the key and its hash makes Spark shuffle the distinct keys once
+    more, which is cheap, and the left side once, as it would have to anyway. A
+    small right side is broadcast as usual.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    copies = right.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS {_SALT}")
-    spread = left.selectExpr("*", f"pmod(spark_partition_id(), {salts}) AS {_SALT}")
-    return spread.join(copies, [*keys, _SALT], how).drop(_SALT)
+    mark = f"xxhash64({_list(keys)}) AS {_MARK}"
+    joined = left.selectExpr("*", mark).join(right.selectExpr("*", mark), [*keys, _MARK], how)
+    return joined.drop(_MARK)
 
 
 def _as_number(kind: T.DataType, column: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import named
-from tagwright.operators.skew import _SLICE, HOT_ROWS, Ordered, bounded_lists, salted_join
+from tagwright.operators.skew import _SLICE, HOT_ROWS, Ordered, bounded_lists, spread_join
 
 # Seconds per step, and the accelerations that mean full throttle and full brake.
 STEP_SECONDS = 0.1
@@ -197,10 +197,11 @@ def ade_arrays(
 ) -> DataFrame:
     """Add ``ade`` to each predicted trajectory. ``truth`` has one row per key.
 
-    Salted, so that a key with very many samples is scored by many tasks.
+    Scoring is a projection of the joined rows, so a key with very many samples
+    is scored by many tasks.
     """
     target = truth.select(*keys, F.col(points).alias("__truth"))
-    joined = salted_join(pred, target, keys, "left")
+    joined = spread_join(pred, target, keys, "left")
     return joined.selectExpr("*", f"{points_ade(named(points), '__truth')} AS ade").drop("__truth")
 
 

@@ -18,7 +18,7 @@ from tagwright.functions.text import (
     tokens,
     warning_text,
 )
-from tagwright.operators.skew import salted_join
+from tagwright.operators.skew import spread_join
 from tagwright.vocabulary import CONFIDENCE, FAILED, NOT_MENTIONED, NOTES, VOCABULARY
 
 Vocabulary = dict[str, list[str]]
@@ -182,7 +182,7 @@ def lookup_values(df: DataFrame, col: str, vocabulary: DataFrame, field: str) ->
 
     Explodes the cell into tokens and adds ``token`` and ``known``. The
     vocabulary is reduced to distinct values first, so rows never multiply, and
-    a token that makes up much of the table is spread over several tasks.
+    a token that makes up much of the table can be split over several tasks.
     """
     values = (
         vocabulary.filter(F.col("field") == field)
@@ -191,7 +191,7 @@ def lookup_values(df: DataFrame, col: str, vocabulary: DataFrame, field: str) ->
         .withColumn("known", F.lit(True))
     )
     exploded = df.selectExpr("*", f"explode({tokens(filled(named(col)))}) AS token")
-    return salted_join(exploded, values, "token", "left").withColumn(
+    return spread_join(exploded, values, "token", "left").withColumn(
         "known", F.coalesce("known", F.lit(False))
     )
 

@@ -13,7 +13,7 @@ from tagwright.functions.text import unwrapped
 from tagwright.operators.annotate import annotate
 from tagwright.operators.prompts import prompt
 from tagwright.operators.quality import summary
-from tagwright.operators.recover import failed_rows, merge_repaired, recover
+from tagwright.operators.recover import failed_rows, merge_repaired, recover, rows_of
 from tagwright.operators.rows import non_blank
 from tagwright.operators.validate import validate_rows
 from tagwright.vocabulary import VOCABULARY, response_fields
@@ -66,12 +66,15 @@ class Annotation:
         return spark.read.parquet(table)
 
     def failed_traces(self, table: DataFrame, traces: DataFrame) -> DataFrame:
-        """The input of the next run: every failed row with its trace."""
+        """Every failed row with its trace, for inspection or another tool."""
         return recover(failed_rows(table), traces, self.key, [self.text])
 
     def repair(self, table: DataFrame, traces: DataFrame, name: str) -> DataFrame:
-        """Annotate the failed traces again as ``name`` and return the merged table."""
-        again = self.failed_traces(table, traces).dropDuplicates([self.key])
+        """Annotate all traces of the failed keys again, as ``name``, and return the merged table.
+
+        Each such trace is asked once, however many failed rows its key has.
+        """
+        again = rows_of(traces, failed_rows(table), self.key)
         return merge_repaired(table, self.run(again, name), self.key)
 
     def summary(self, table: DataFrame) -> DataFrame:

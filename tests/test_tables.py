@@ -11,6 +11,8 @@ from tagwright.operators import quality as qa
 from tagwright.operators import recover as rc
 from tagwright.operators import rows as rw
 from tagwright.operators import skew
+from tagwright.operators import trajectory as tr
+from tagwright.operators import validate as va
 from tagwright.plans.annotation import Annotation
 from tagwright.sources import files
 from tagwright.sources.shared import shared_folder
@@ -92,25 +94,51 @@ def test_missing_and_merge(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti", "inner"])
-def test_salted_join_equals_a_plain_join_and_spreads_a_hot_key(spark, how):
-    left = spark.range(0, 400, 1, 8).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+def test_spread_join_equals_a_plain_join(spark, how):
+    key = F.when(F.col("id") % 3 > 0, 7).when(F.col("id") % 7 > 0, F.col("id"))
+    left = spark.range(0, 400, 1, 8).select("id", key.alias("k"))
     right = spark.range(0, 300, 2).select(F.col("id").alias("k")).union(spark.range(7, 8))
     right = right if "semi" in how or "anti" in how else right.withColumn("r", F.col("k") * 2)
-    got = skew.salted_join(left, right, "k", how, 4)
+    got = skew.spread_join(left, right, "k", how)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_hot_key_of_a_salted_join_reaches_several_tasks(spark):
-    left = spark.range(0, 400, 1, 8).select(F.lit(7).alias("k"), "id")
-    right = spark.range(7, 8).select(F.col("id").alias("k")).hint("merge")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge such small tasks
+@pytest.mark.parametrize("how", ["rows_of", "missing", "ade_arrays", "lookup_values"])
+def test_a_hot_left_key_is_split_over_tasks(spark, how):
+    """With real thresholds this takes hundreds of megabytes, so they are set low here."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    hot = "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k"
+    left = spark.range(0, 60000, 1, 8).selectExpr("id", hot, "array(struct(double(id) AS x, 2D AS y)) AS points")
+    right = spark.range(0, 60000, 2, 4).selectExpr(hot)
+    for name, value in low.items():
+        spark.conf.set(name, value)
     try:
-        joined = skew.salted_join(left, right, "k", "inner", 8)
-        assert joined.groupBy(F.spark_partition_id().alias("p")).count().count() > 1
+        if how == "rows_of":
+            out = rc.rows_of(left, right, "k")
+        elif how == "missing":
+            out = rc.missing(left, right, "k")
+        elif how == "lookup_values":
+            values = right.selectExpr("'f' AS field", "CAST(k AS STRING) AS value")
+            out = va.lookup_values(left.selectExpr("id", "CAST(k AS STRING) AS k"), "k", values, "f")
+        else:
+            truth = right.groupBy("k").agg(F.array(F.struct(F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))).alias("points"))
+            out = tr.min_ade(tr.ade_arrays(left, truth, ["k"]), ["k"])
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+        for name in low:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "skew=true" in plan
 
 
 # ---- quality ----------------------------------------------------------------
