@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagwright.functions.text import named
+from tagwright.sources.shared import shared_folder
 
 HOT_ROWS = 5_000_000
 
-_MARK, _SLICE, _CONTEXT, _AT = "__mark", "__slice", "__context", "__at"
+_MARK, _SLICE, _CONTEXT, _AT, _ROW = "__mark", "__slice", "__context", "__at", "__row"
 
 
 def spread_join(
@@ -33,20 +33,6 @@ def spread_join(
     return joined.drop(_MARK)
 
 
-def _as_number(kind: T.DataType, column: str) -> str:
-    """A number that never decreases along the order of the column."""
-    if isinstance(kind, T.NumericType):
-        return f"CAST({column} AS DOUBLE)"
-    if isinstance(kind, T.TimestampType):
-        return f"CAST(unix_micros({column}) AS DOUBLE)"
-    if isinstance(kind, T.DateType):
-        return f"CAST(unix_date({column}) AS DOUBLE)"
-    if isinstance(kind, T.TimestampNTZType):
-        clock = f"hour({column}) * 3600 + minute({column}) * 60 + second({column})"
-        return f"CAST(unix_date(CAST({column} AS DATE)) AS DOUBLE) * 86400 + {clock}"
-    raise TypeError(f"cannot order by {column}: {kind.simpleString()} is no number, date or timestamp")
-
-
 def _same(keys: Sequence[str], prefix: str) -> str:
     return " AND ".join(f"{named(k)} <=> {named(prefix + k)}" for k in keys)
 
@@ -55,34 +41,29 @@ def _list(columns: Sequence[str], suffix: str = "") -> str:
     return ", ".join(named(c) + suffix for c in columns)
 
 
-def _with_slice(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame:
-    """Add ``__slice``: 0 for ordinary keys; hot keys are cut along ``order``.
+def _cut(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, folder: str
+) -> DataFrame:
+    """Write the rows in ``n`` ranges of (keys, order) and return them with ``__slice`` and ``__row``.
 
-    A key is hot if it has more than ``hot_rows`` rows, so there are at most
-    rows / hot_rows hot keys: that bounds what is broadcast here.
+    ``__row`` numbers all rows in that order. Rows equal in all those columns are
+    told apart by the input partition they come from, so that even copies are
+    spread. Range bounds are sampled; once written, the cut is fixed for every
+    later use and retry.
     """
-    place = _as_number(df.schema[order].dataType, named(order))
-    hot = (
-        df.groupBy(*keys)
-        .agg(
-            F.expr("count(*) AS __n"),
-            F.expr(f"min({place}) AS __lo"),
-            F.expr(f"max({place}) AS __hi"),
-        )
-        .filter(f"__n > {hot_rows}")
-        .selectExpr(*[f"{named(k)} AS {named('__hot_' + k)}" for k in keys], "__n", "__lo", "__hi")
-    )
-    cut = f"floor(try_divide({place} - __lo, __hi - __lo) * ceil(__n / {hot_rows}))"
-    return df.join(F.broadcast(hot), F.expr(_same(keys, "__hot_")), "left").selectExpr(
-        *[named(c) for c in df.columns],
-        f"CASE WHEN __n IS NULL THEN 0 ELSE coalesce({cut}, -1) END AS {_SLICE}",
-        "__n IS NOT NULL AS __is_hot",
+    columns = [named(c) for c in df.columns]
+    ranged = df.selectExpr("*", "spark_partition_id() AS __tie").repartitionByRange(
+        n, *keys, *order, "__tie"
     )
+    ranged.sortWithinPartitions(*keys, *order).selectExpr(
+        *columns, f"monotonically_increasing_id() AS {_ROW}", f"spark_partition_id() + 1 AS {_SLICE}"
+    ).write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
-def _edge_rows(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def _edge_rows(hot: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """The ``n`` rows before each slice, labelled with that slice and with their position."""
-    backwards = f"OVER (PARTITION BY {_list(keys)}, {_SLICE} ORDER BY {_list(order, ' DESC')})"
+    backwards = f"OVER (PARTITION BY {_list(keys)}, {_SLICE} ORDER BY {_ROW} DESC)"
     last = hot.selectExpr("*", f"row_number() {backwards} AS __back").filter(f"__back <= {n}")
     upto = (
         hot.groupBy(*keys, _SLICE)
@@ -96,7 +77,7 @@ def _edge_rows(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
     placed = last.join(upto, F.expr(f"{_same(keys, '__end_')} AND {_SLICE} = __end"))
     columns = [c for c in hot.columns if c != _SLICE]
     row = f"struct({_list(columns)}, __upto - __back AS {_AT})"
-    along = f"OVER (PARTITION BY {_list(keys)} ORDER BY {_list(order)})"
+    along = f"OVER (PARTITION BY {_list(keys)} ORDER BY {_ROW})"
     earlier = ", ".join(f"lag({row}, {i}) {along}" for i in range(1, n + 1))
     return (
         placed.selectExpr(
@@ -106,13 +87,17 @@ def _edge_rows(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
         )
         .filter(f"__before <> {_SLICE}")
         .selectExpr(_SLICE, "inline(__rows)")
-        .selectExpr(*[named(c) for c in columns], _AT, _SLICE)
     )
 
 
 class Ordered:
     """Rows of each key in order, cut so that no task has to take a whole hot key.
 
+    A key with more than ``hot_rows`` rows is hot. One pre-aggregated count,
+    which runs at once, tells whether there are any; mostly there are none, and
+    the rows stay as they are. The rows of hot keys are written in ranges of
+    about ``hot_rows`` rows, and each range becomes a slice of its own.
+
     ``over`` is the SQL window of one slice. Every slice but the first of a key
     starts with the last ``context`` rows before it, so ``lag`` up to that
     distance and ``position`` are the same as over the whole key. Finish with
@@ -128,24 +113,43 @@ class Ordered:
         context: int = 1,
         hot_rows: int = HOT_ROWS,
     ):
-        cut = _with_slice(df, keys, order[0], hot_rows)
-        edges = _edge_rows(cut.filter("__is_hot").drop("__is_hot"), keys, order, context)
-        columns = [named(c) for c in df.columns]
-        self.rows = cut.selectExpr(
-            *columns, f"CAST(NULL AS BIGINT) AS {_AT}", _SLICE, f"false AS {_CONTEXT}"
-        ).union(edges.selectExpr(*columns, _AT, _SLICE, f"true AS {_CONTEXT}"))
         self.group = [*keys, _SLICE]
-        self.over = f"OVER (PARTITION BY {_list(self.group)} ORDER BY {_list(order)})"
-
-    @property
-    def position(self) -> str:
-        """0-based position of the row within its key."""
-        start = f"first({_AT}) {self.over[:-1]} ROWS UNBOUNDED PRECEDING)"
-        return f"coalesce({start}, 0) + row_number() {self.over} - 1"
+        counts = df.groupBy(*keys).agg(F.expr("count(*) AS __n")).filter(f"__n > {hot_rows}")
+        total = counts.agg(F.sum("__n")).first()[0]
+        if total is None:
+            self.rows = df.selectExpr("*", f"0 AS {_SLICE}", f"false AS {_CONTEXT}")
+            self.over = f"OVER (PARTITION BY {_list(self.group)} ORDER BY {_list(order)})"
+            self.position = f"CAST(row_number() {self.over} AS BIGINT) - 1"
+            return
+
+        folder = shared_folder(df.sparkSession, "ordered")
+        counts.selectExpr(*[f"{named(k)} AS {named('__hot_' + k)}" for k in keys]).write.parquet(
+            f"{folder}/keys"
+        )
+        # At most rows / hot_rows keys, which is what bounds this broadcast.
+        hot_keys = F.broadcast(df.sparkSession.read.parquet(f"{folder}/keys"))
+        is_hot = F.expr(_same(keys, "__hot_"))
+        cold = df.join(hot_keys, is_hot, "left_anti")
+        pieces = -(-total // hot_rows)
+        hot = _cut(df.join(hot_keys, is_hot, "left_semi"), keys, order, pieces, f"{folder}/rows")
+        unplaced = f"CAST(NULL AS BIGINT) AS {_AT}"
+        columns = [named(c) for c in df.columns]
+        parts = [
+            cold.selectExpr(
+                *columns, f"CAST(NULL AS BIGINT) AS {_ROW}", f"0 AS {_SLICE}", unplaced, f"false AS {_CONTEXT}"
+            ),
+            hot.selectExpr(*columns, _ROW, _SLICE, unplaced, f"false AS {_CONTEXT}"),
+            _edge_rows(hot, keys, context).selectExpr(*columns, _ROW, _SLICE, _AT, f"true AS {_CONTEXT}"),
+        ]
+        self.rows = parts[0].union(parts[1]).union(parts[2])
+        within = f"PARTITION BY {_list(self.group)} ORDER BY {_ROW}, {_list(order)}"
+        self.over = f"OVER ({within})"
+        start = f"first({_AT}) OVER ({within} ROWS UNBOUNDED PRECEDING)"
+        self.position = f"coalesce({start}, 0) + row_number() {self.over} - 1"
 
     @staticmethod
     def own_rows(df: DataFrame) -> DataFrame:
-        return df.filter(f"NOT {_CONTEXT}").drop(_CONTEXT, _AT)
+        return df.filter(f"NOT {_CONTEXT}").drop(_CONTEXT, _AT, _ROW)
 
 
 def bounded_lists(
@@ -155,7 +159,7 @@ def bounded_lists(
 
     ``group`` is the ``group`` of an ``Ordered``; grouping by it and a piece
     number needs no further shuffle. ``start`` is the position of the first
-    element; a key with more rows than fit has several list rows.
+    element; a key with more rows than fit, or a hot key, has several list rows.
     """
     elements = ", ".join(f"{e} AS {named(n)}" for n, e in lists.items())
     collected = f"array_sort(collect_list(struct({named(position)} AS at, {elements})))"

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.operators import trajectory as tr
+from tagwright.operators.skew import Ordered
 
 
 def controls(acc):
@@ -77,6 +78,24 @@ def test_hot_null_key_is_cut_like_any_other(spark):
     assert {round(r.speed, 9) for r in out} == {10.0}
 
 
+def test_a_hot_key_with_few_order_values_is_cut_evenly(spark):
+    # A broken key that collects the steps of many trajectories, and whole copies of rows.
+    for row in ("'k' k, id % 4 step, cast(id as double) x", "'k' k, 1 step, 1D x"):
+        df = spark.range(0, 4000, 1, 8).selectExpr(*row.split(", "))
+        cut = Ordered(df, ["k"], ["step"], context=2, hot_rows=500)
+        sizes = [r.n for r in cut.rows.groupBy(*cut.group).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) > 4 and max(sizes) < 1500
+        lags = [f"lag(x, {i}) {cut.over} AS x{i}" for i in (1, 2)]
+        own = cut.own_rows(cut.rows.selectExpr("*", f"{cut.position} AS position", *lags))
+        places = own.orderBy("position").collect()
+        assert [r.position for r in places] == list(range(4000))
+        assert [r.step for r in places] == sorted(r.step for r in places)
+        assert sorted(r.x for r in places) == sorted(r.x for r in df.collect())
+        for i in (1, 2):
+            assert [r[f"x{i}"] for r in places] == [None] * i + [r.x for r in places[:-i]]
+        assert tr.kinematics(df, ["k"], axes=["x"], hot_rows=500).count() == 3999
+
+
 def test_order_by_timestamps_without_zone(spark):
     df = spark.sql(
         "select 'k' k, timestamp_ntz'2024-03-31 00:00:00' + make_dt_interval(0, 0, 10 * id) ts, "
