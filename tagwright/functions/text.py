@@ -38,7 +38,7 @@ def named(column: str) -> str:
 
 def blank_sql(cell: str) -> str:
     """True for NULL and for text with nothing but whitespace."""
-    return f"coalesce(trim(BOTH {quoted(WHITESPACE)} FROM {cell}) = '', true)"
+    return f"coalesce(trim(LEADING {quoted(WHITESPACE)} FROM {cell}) = '', true)"
 
 
 def filled(cell: str, default: str = NOT_MENTIONED) -> str:
@@ -48,7 +48,10 @@ def filled(cell: str, default: str = NOT_MENTIONED) -> str:
 
 def normal_form(cell: str) -> str:
     """Stripped, lower case, with ``_`` for spaces and hyphens."""
-    stripped = f"trim(BOTH {quoted(WHITESPACE)} FROM {cell})"
+    # In printable ASCII the only whitespace is the space, which Spark trims much faster than a set.
+    other = f"{cell} RLIKE '[^ -~]'"
+    every = f"trim(BOTH {quoted(WHITESPACE)} FROM {cell})"
+    stripped = f"CASE WHEN {other} THEN {every} ELSE trim({cell}) END"
     return f"replace(replace(lower({stripped}), ' ', '_'), '-', '_')"
 
 

@@ -1003,7 +1003,8 @@ def min_ade(spark, folder):
 )
 def rotate_points(spark, folder):
     samples, _ = _trajectories(spark, folder)
-    return tr.rotate(tr.to_steps(samples)).select("vec_id", "step", "x", "y")
+    points = tr.rotate(tr.to_steps(samples))
+    return points.select("vec_id", F.col("step").cast("bigint").alias("step"), "x", "y")
 
 
 _SQL_VECTOR_SERIES = """
