@@ -27,7 +27,6 @@ HEADLINE = {
     "vocab_join": "orders",
     "row_validate": "part",
     "validation_outcomes": "orders",
-    "driving_rows": "lineitem",
     "rule_violations": "lineitem",
     "rule_labels": "documents",
     "batch_annotate": "documents",

@@ -29,7 +29,8 @@ TEMPERATURE = 0.0
 MAX_TURNS = 100_000
 
 
-def _block(df: DataFrame, group: Sequence[str], order: str, line: Column, joiner: str) -> Column:
+def _joined(order: str, line: Column, joiner: str) -> Column:
+    """Aggregate: the lines of a group in order."""
     return F.array_join(
         F.transform(
             F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), line.alias("line")))),
@@ -44,7 +45,7 @@ def vocabulary_lines(vocabulary: DataFrame) -> DataFrame:
 
     A vocabulary has to fit in a prompt, which is what bounds each list.
     """
-    values = _block(vocabulary, ["field"], "position", F.col("value"), ", ")
+    values = _joined("position", F.col("value"), ", ")
     return vocabulary.groupBy("field").agg(values.alias("values")).select(
         "field", F.concat(F.lit("  "), "field", F.lit(": ["), "values", F.lit("]")).alias("line")
     )
@@ -60,9 +61,7 @@ def definition_blocks(
     """``(group, block)``: the lines ``  - **value**: text``; values without a text are left out."""
     line = F.concat(F.lit("  - **"), F.col(value), F.lit("**: "), F.col(definition))
     defined = definitions.filter(F.col(definition).isNotNull())
-    return defined.groupBy(group).agg(
-        _block(defined, [group], position, line, "\n").alias("block")
-    )
+    return defined.groupBy(group).agg(_joined(position, line, "\n").alias("block"))
 
 
 def prompt(

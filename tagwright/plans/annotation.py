@@ -41,6 +41,7 @@ class Annotation:
 
         The answers are written before anything else uses them, so that each
         trace is sent to the service once and a later failure costs no calls.
+        A name that was used before is refused rather than overwritten.
         """
         spark = traces.sparkSession
         answers = f"{self.folder}/{name}_answers"
@@ -54,15 +55,13 @@ class Annotation:
             self.attempts,
             self.partitions,
             self.sleep,
-        ).write.mode("overwrite").parquet(answers)
+        ).write.parquet(answers)
 
         answered = spark.read.parquet(answers)
         failed = F.col("status") == "failed"
         valid = validate_rows(answered.filter(~failed), self.vocab).select(*self.columns)
         table = f"{self.folder}/{name}"
-        valid.unionByName(answered.filter(failed).select(*self.columns)).write.mode(
-            "overwrite"
-        ).parquet(table)
+        valid.unionByName(answered.filter(failed).select(*self.columns)).write.parquet(table)
         return spark.read.parquet(table)
 
     def failed_traces(self, table: DataFrame, traces: DataFrame) -> DataFrame:

@@ -291,6 +291,10 @@ def test_annotation_run_and_repair(spark, tmp_path):
     assert first.failed_traces(table, traces).count() == 2
     assert len(list(calls.iterdir())) == 3 + 2 * 2
 
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        first.repair(table, traces, "first")
+    assert table.count() == 6
+
     second = Annotation(answer=answer({"e"}), **common)
     merged = second.repair(table, traces, "second")
     assert len(list(calls.iterdir())) == 7 + 1 + 2
