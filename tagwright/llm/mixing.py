@@ -8,6 +8,7 @@ the histogram of sizes, which Spark aggregates; the rates are then rounded into
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +137,40 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame
     return state
 
 
+def _nearer(sizes: np.ndarray, copies: np.ndarray, full: np.ndarray, due: float) -> np.ndarray:
+    """Move single copies between sizes while that brings the words taken nearer to what is due.
+
+    Each step adds a copy of one size, drops one of another, or both, whichever leaves least due. Sizes descend.
+    """
+    for _ in range(50):
+        up, down = np.flatnonzero(copies < full), np.flatnonzero(copies > 0)
+        options = []
+        rising = sizes[up][::-1]
+        for drop in [None, *down[np.argsort(-sizes[down], kind="stable")]]:
+            have = due + (0 if drop is None else sizes[drop])
+            if drop is not None:
+                options.append((abs(have), None, drop))
+            at = np.searchsorted(rising, have)
+            for k in (at - 1, at):
+                if 0 <= k < len(rising):
+                    add = up[len(up) - 1 - k]
+                    if add != drop:
+                        options.append((abs(have - sizes[add]), add, drop))
+        best = min(options, key=lambda o: o[0], default=(abs(due), None, None))
+        if best[0] >= abs(due) - 1e-9:
+            break
+        _, add, drop = best
+        if add is not None:
+            copies[add] += 1
+            due -= sizes[add]
+        if drop is not None:
+            copies[drop] -= 1
+            due += sizes[drop]
+        if abs(due) <= 0.5:
+            break
+    return copies
+
+
 def _rounded(rates: DataFrame, most: int) -> DataFrame:
     """Whole copies per (source, size), by carrying the error from larger to smaller sizes.
 
@@ -150,6 +185,8 @@ def _rounded(rates: DataFrame, most: int) -> DataFrame:
             k = min(max(round(due / size), 0), most * n)
             due -= k * size
             copies.append(k)
+        sizes, full = cells["size"].to_numpy(), most * cells["n"].to_numpy()
+        copies = _nearer(sizes, np.array(copies), full, due)
         return cells.assign(copies=copies)[["source", "size", "n", "copies"]]
 
     return rates.groupBy("source").applyInPandas(carry, "source string, size long, n long, copies long")

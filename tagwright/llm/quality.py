@@ -153,7 +153,7 @@ def probabilities(x: np.ndarray, model: dict) -> np.ndarray:
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """All columns of ``docs`` and ``__score``; whole texts, one pass, no shuffle."""
+    """The columns of ``docs`` as ``c0``, ``c1`` and so on, and ``score``; whole texts, one pass, no shuffle."""
     column = docs.columns.index("text")
     names = [f"c{i}" for i in range(len(docs.columns))]
     fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
@@ -166,9 +166,9 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
                 p = np.full(len(texts), model["prior"])
             else:
                 p = probabilities(np.array([measure(t) for t in texts]), model)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*names, "score"])
 
-    return docs.toDF(*names).mapInArrow(work, f"{fields}, __score double").toDF(*docs.columns, "__score")
+    return docs.toDF(*names).mapInArrow(work, f"{fields}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -181,16 +181,15 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     rows = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), model)
     return rows.selectExpr(
-        "doc_id",
-        f"{held_out()} AS held_out",
-        "__score AS score",
-        f"IF(__score >= {ACCEPTED}, 1, 0) AS predicted",
+        "c0 AS doc_id",
+        f"{held_out('c0')} AS held_out",
+        "score",
+        f"IF(score >= {ACCEPTED}, 1, 0) AS predicted",
     )
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose score is at least ``ACCEPTED``, with all their columns."""
     model = fit(docs, labels)
-    return scored(docs, model).filter(F.col("__score") >= ACCEPTED).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    good = scored(docs, model).filter(F.col("score") >= ACCEPTED)
+    return good.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
