@@ -46,6 +46,36 @@ HEADLINE = {
     "control_lists": "events",
     "confidence_summary": "labels",
     "csv_roundtrip": "customer",
+    "csv_fixed_columns": "customer",
+    "one_column": "documents",
+    "nonblank_text": "documents",
+    "first_n": "documents",
+    "kth_row": "documents",
+    "any_column_contains": "customer",
+    "error_semi": "documents",
+    "merge_repaired": "labels",
+    "priority_counts": "orders",
+    "driving_rows": "lineitem",
+    "driving_rule_labels": "documents",
+    "long_view": "part",
+    "observed_summary": "labels",
+    "props_decode": "events",
+    "vocab_block": "orders",
+    "definition_block": "customer",
+    "first_message_override": "conversations",
+    "batch_requests": "documents",
+    "offline_annotation": "documents",
+    "unwrap_trace": "documents",
+    "unwrap_samples": "documents",
+    "annotation_repair": "documents",
+    "status_summary": "documents",
+    "incremental_ingest": "conversations",
+    "incremental_predict": "documents",
+    "rotate_points": "embeddings",
+    "ade_uneven": "embeddings",
+    "step_speed_cut": "events",
+    "control_lists_cut": "events",
+    "chat_messages_cut": "conversations",
 }
 
 

@@ -69,6 +69,22 @@ def tokens(cell: str) -> str:
     return f"transform(split({cell}, ',', -1), part -> {normal_form('part')})"
 
 
+def list_form(cell: str) -> str:
+    """All tokens of a printable cell in normal form, still joined by commas; other cells give NULL.
+
+    One pass over the cell instead of one per token: in printable ASCII the only whitespace is the space.
+    """
+    spread = f"regexp_replace({cell}, ' *, *', ',')"
+    plain = f"replace(replace(lower(trim({spread})), ' ', '_'), '-', '_')"
+    return f"CASE WHEN NOT {cell} RLIKE '[^ -~]' THEN {plain} END"
+
+
+def all_exact(joined: str, values: Sequence[str]) -> str:
+    """Every token of a ``list_form`` is in the vocabulary."""
+    known = ", ".join(map(quoted, values))
+    return f"size(array_except(split({joined}, ',', -1), array({known}))) = 0"
+
+
 def _exact_or_blank(token: str, values: Sequence[str]) -> str:
     blank = NOT_MENTIONED if NOT_MENTIONED in values else values[0]
     known = ", ".join(map(quoted, values))
@@ -120,14 +136,48 @@ def warning_text(outcome: str) -> str:
 # ---- columns again ----------------------------------------------------------
 
 
-def unwrapped(col: Column) -> Column:
-    """``[['text']]`` → ``text``; anything else is left as it is.
+# One quoted text, a list of them, and a list of lists. Possessive parts keep long texts off Java's stack.
+_TEXT = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+_TEXTS = rf"\[\s*+(?:{_TEXT}\s*+(?:,\s*+{_TEXT}\s*+)*+)?+\]"
+_LISTS = rf"(?s)^\s*+\[\s*+{_TEXTS}\s*+(?:,\s*+{_TEXTS}\s*+)*+\]\s*+$"
+
+
+def _plain(literal: str) -> str:
+    """A quoted text without quotes and escapes: those of quotes, backslash, line ends, tab, and ``\\x``, ``\\u``."""
+    inner = f"substring({literal}, 2, length({literal}) - 2)"
+    # As JSON text: backslashes that stand for themselves are set aside while the other escapes are rewritten.
+    aside = f"replace({inner}, {quoted(chr(92) * 2)}, '\\u0001')"
+    json = f"replace(replace({aside}, {quoted(chr(92) + chr(39))}, {quoted(chr(39))}), {quoted(chr(92) + chr(34))}, '\\u0002')"
+    json = f"replace(replace({json}, '\"', {quoted(chr(92) + chr(34))}), '\\u0002', {quoted(chr(92) + chr(34))})"
+    json = f"regexp_replace({json}, {quoted(chr(92) * 2 + 'x([0-9a-fA-F]{2})')}, {quoted(chr(92) * 2 + 'u00$1')})"
+    json = f"replace(replace(replace({json}, chr(10), {quoted(chr(92) + 'n')}), chr(9), {quoted(chr(92) + 't')}), chr(13), {quoted(chr(92) + 'r')})"
+    json = f"replace({json}, '\\u0001', {quoted(chr(92) * 2)})"
+    read = f"from_json(concat('[\"', {json}, '\"]'), 'array<string>')[0]"
+    return f"CASE WHEN contains({inner}, {quoted(chr(92))}) THEN coalesce({read}, {inner}) ELSE {inner} END"
 
-    Either quote character may be used: text with an apostrophe is printed in
-    double quotes.
+
+def unwrapped_sql(cell: str) -> str:
+    """``[['text']]`` → ``text`` if there is exactly one text; anything else is left as it is."""
+    one = rf"(?s)^\s*+\[\s*+\[\s*+({_TEXT})\s*+\]\s*+\]\s*+$"
+    literal = f"regexp_extract({cell}, {quoted(one)}, 1)"
+    return f"CASE WHEN startswith({cell}, '[') AND {cell} RLIKE {quoted(one)} THEN {_plain(literal)} ELSE {cell} END"
+
+
+def samples_sql(cell: str) -> str:
+    """``ARRAY<ARRAY<STRING>>`` of a printed list of lists of texts, such as ``[['a', "b's"], ['c']]``.
+
+    NULL for anything else. Either quote character may be used, and escapes are undone.
     """
-    wrapped = F.lit(False)
-    for quote in "'", '"':
-        wrapped |= F.startswith(col, F.lit(f"[[{quote}")) & F.endswith(col, F.lit(f"{quote}]]"))
-    inner = F.substring(col, F.lit(4), F.length(col) - 6)
-    return F.when(wrapped & (F.length(col) >= 6), inner).otherwise(col)
+    lists = f"regexp_extract_all({cell}, {quoted(_TEXTS)}, 0)"
+    each = f"transform(regexp_extract_all(x, {quoted(_TEXT)}, 0), y -> {_plain('y')})"
+    return f"CASE WHEN {cell} RLIKE {quoted(_LISTS)} THEN transform({lists}, x -> {each}) END"
+
+
+def unwrapped(col: str) -> Column:
+    """``unwrapped_sql`` of a column."""
+    return F.expr(unwrapped_sql(named(col)))
+
+
+def samples(col: str) -> Column:
+    """``samples_sql`` of a column."""
+    return F.expr(samples_sql(named(col)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagwright.functions.text import named
 from tagwright.operators.skew import HOT_ROWS, Ordered, bounded_lists
-from tagwright.vocabulary import VOCABULARY, response_json_schema
+from tagwright.vocabulary import TOOL_NAME, VOCABULARY, response_json_schema
 
 # The per-row prompt, its two closing lines, and the names and texts in request bodies.
 PROMPT = (
@@ -21,32 +21,46 @@ PROMPT = (
 )
 CLOSING_TOOL = "Call the submit_ontology_parse tool with the parsed result."
 CLOSING_JSON = "Return the parsed JSON."
-TOOL_NAME = "submit_ontology_parse"
 FORMAT_NAME = "ontology_parse"
+SUBJECT = "CoC reasoning trace"
+TOOL_TEXT = (
+    "Submit the parsed ontology for a CoC reasoning trace. "
+    "Call this tool exactly once with the parsed result."
+)
 MAX_TOKENS = 4096
 TEMPERATURE = 0.0
 
 MAX_TURNS = 100_000
+MAX_LINES = 10_000
 
 
 def _joined(order: str, line: Column, joiner: str) -> Column:
-    """Aggregate: the lines of a group in order."""
-    return F.array_join(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), line.alias("line")))),
-            lambda e: e["line"],
-        ),
-        joiner,
+    """Aggregate: the lines of a group in order; an error beyond ``MAX_LINES``."""
+    lines = F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), line.alias("line")))),
+        lambda e: e["line"],
     )
+    return F.when(
+        F.count(F.lit(1)) > MAX_LINES, F.raise_error(F.lit(f"a group has more than {MAX_LINES} lines"))
+    ).otherwise(F.array_join(lines, joiner))
+
+
+def _small_groups(df: DataFrame, group: str, order: str) -> DataFrame:
+    """All rows of groups up to the bound, and just enough of larger ones to raise the error.
+
+    The rank is cut by each task before the shuffle, so no task gathers an unbounded group.
+    """
+    rank = f"row_number() OVER (PARTITION BY {named(group)} ORDER BY {named(order)})"
+    return df.selectExpr("*", f"{rank} AS __rank").filter(f"__rank <= {MAX_LINES + 1}").drop("__rank")
 
 
 def vocabulary_lines(vocabulary: DataFrame) -> DataFrame:
     """``(field, line)`` with ``  field: [a, b]``, from ``(field, position, value)``.
 
-    A vocabulary has to fit in a prompt, which is what bounds each list.
+    A vocabulary has to fit in a prompt: a field of more than ``MAX_LINES`` values is an error.
     """
     values = _joined("position", F.col("value"), ", ")
-    return vocabulary.groupBy("field").agg(values.alias("values")).select(
+    return _small_groups(vocabulary, "field", "position").groupBy("field").agg(values.alias("values")).select(
         "field", F.concat(F.lit("  "), "field", F.lit(": ["), "values", F.lit("]")).alias("line")
     )
 
@@ -61,14 +75,14 @@ def definition_blocks(
     """``(group, block)``: the lines ``  - **value**: text``; values without a text are left out."""
     line = F.concat(F.lit("  - **"), F.col(value), F.lit("**: "), F.col(definition))
     defined = definitions.filter(F.col(definition).isNotNull())
-    return defined.groupBy(group).agg(_joined(position, line, "\n").alias("block"))
+    return _small_groups(defined, group, position).groupBy(group).agg(_joined(position, line, "\n").alias("block"))
 
 
 def prompt(
     key: Column,
     text: Column,
     closing: str = CLOSING_JSON,
-    what: str = "reasoning trace",
+    what: str = SUBJECT,
     template: str = PROMPT,
 ) -> Column:
     """The user prompt of a row. ``template`` has the slots what, key, text and closing, each once."""
@@ -104,19 +118,23 @@ def messages_from_turns(
 ) -> DataFrame:
     """``(keys, start, messages)`` with the turns of each conversation in order.
 
-    A conversation of more than ``max_turns`` turns has several rows, in order of
-    ``start``, the 0-based index of its first message.
+    Each row has ``max_turns`` messages, the last of a conversation up to that many; ``start`` is the
+    0-based index of its first message, 0, ``max_turns``, and so on.
     """
     turns = Ordered(df.select(*keys, turn, role, text), keys, [turn, role, text], 1, hot_rows)
     placed = turns.own_rows(turns.rows.selectExpr("*", f"{turns.position} AS position"))
     said = f"named_struct('role', {named(role)}, 'content', {named(text)})"
-    return bounded_lists(placed, turns.group, "position", max_turns, {"messages": said})
+    return bounded_lists(placed, turns.list_group, "position", max_turns, {"messages": said})
 
 
-def with_first_text(messages: Column, text: Column) -> Column:
-    """The message array with the content of its first message replaced."""
+def with_first_text(messages: Column, text: Column, start: Column | None = None) -> Column:
+    """The message array with the content of the conversation's first message replaced.
+
+    ``start`` is that of ``messages_from_turns``: a later piece of a conversation has no first message.
+    """
+    begin = F.lit(0) if start is None else start
     return F.transform(
-        messages, lambda m, i: F.when(i == 0, m.withField("content", text)).otherwise(m)
+        messages, lambda m, i: F.when(i + begin == 0, m.withField("content", text)).otherwise(m)
     )
 
 
@@ -128,7 +146,7 @@ def request_body(
     vocab: dict[str, list[str]] = VOCABULARY,
     max_tokens: int = MAX_TOKENS,
     temperature: float = TEMPERATURE,
-    tool_description: str = "Submit the parsed result. Call this tool exactly once.",
+    tool_description: str = TOOL_TEXT,
 ) -> Column:
     """One JSON request per row, for a service's offline batch input.
 
@@ -153,3 +171,9 @@ def request_body(
     before = json.dumps(head, ensure_ascii=False)[:-1] + ', "messages": '
     after = ", " + json.dumps(tail, ensure_ascii=False)[1:]
     return F.concat(F.lit(before), F.to_json(messages), F.lit(after))
+
+
+def request_line(key: Column, body: Column) -> Column:
+    """A line of a batch file: the row's key as ``custom_id``, by which the answer is found again, and the body."""
+    named_key = F.to_json(F.struct(key.cast("string").alias("custom_id")))
+    return F.concat(F.substring(named_key, F.lit(1), F.length(named_key) - 1), F.lit(', "body": '), body, F.lit("}"))

@@ -80,17 +80,18 @@ def check_rows(
 def check_keys(
     df: DataFrame, key: str, groups: dict[str, list[str]] = GROUPS
 ) -> DataFrame:
-    """Rules on all rows of a key, as ``(rule, key, detail)``, in one pre-aggregated shuffle.
+    """Rules on all rows of a key, as ``(rule, key, detail)``, in pre-aggregated shuffles.
 
     No row of the key has a maneuver; rows of the key differ in maneuver or
-    environment. Least and greatest instead of a distinct count: a hot key then
-    costs two values per task.
+    environment. Rows are first counted by key and context, then contexts by key: hash aggregation throughout, and a hot key
+    costs each task one row per context it has.
     """
-    context = F.struct(*groups["maneuver"], *groups["environment"])
+    context = [*groups["maneuver"], *groups["environment"]]
     acts = reduce(or_, [F.col(f) != NOT_MENTIONED for f in groups["maneuver"]])
-    per_key = df.groupBy(F.col(key).alias("key")).agg(
+    contexts = df.groupBy(F.col(key).alias("key"), *context).agg(F.count(F.lit(1)).alias("n"))
+    per_key = contexts.groupBy("key").agg(
         F.coalesce(F.bool_or(acts), F.lit(False)).alias("acts"),
-        (~F.min(context).eqNullSafe(F.max(context))).alias("differs"),
+        (F.count(F.lit(1)) > 1).alias("differs"),
     )
     rules = F.array_compact(
         F.array(

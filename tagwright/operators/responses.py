@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +15,12 @@ from tagwright.vocabulary import (
     CONFIDENCE_LEVELS,
     FAILED,
     NOTES,
+    TOOL_NAME,
     VOCABULARY,
     response_fields,
-    response_type,
 )
 
-OK, BAD_JSON, NO_ROWS = "ok", "bad_json", "no_rows"
+OK, BAD_JSON, NO_ROWS, NO_ANSWER = "ok", "bad_json", "no_rows", "no_answer"
 MISSING, EXTRA, BAD_TYPE, BAD_LEVEL = "missing", "extra", "bad_type", "bad_confidence"
 
 
@@ -27,16 +29,42 @@ def _strict(json_col: str) -> Column:
     return F.concat(F.lit("["), F.col(json_col), F.lit("]"))
 
 
-def _decoded(json_col: str, schema: T.StructType) -> Column:
-    return F.from_json(_strict(json_col), T.ArrayType(schema), {"allowSingleQuotes": "false"})
-
-
 def parse_json(df: DataFrame, json_col: str, schema: str, out: str) -> DataFrame:
-    """Add ``out`` with the object in ``json_col``, and ``<out>_ok``: it is one JSON object."""
-    found = df.withColumn("__found", _decoded(json_col, T.StructType.fromDDL(schema)))
+    """Add ``out`` with the object in ``json_col``, and ``<out>_ok``: it is one JSON object, no key twice."""
+    kind = T.ArrayType(T.StructType.fromDDL(schema))
+    found = df.withColumns(
+        {
+            "__found": F.from_json(_strict(json_col), kind, {"allowSingleQuotes": "false"}),
+            "__sound": F.try_parse_json(_strict(json_col)).isNotNull(),
+        }
+    )
     single = F.try_element_at("__found", F.lit(1))
-    valid = F.coalesce((F.size("__found") == 1) & single.isNotNull(), F.lit(False))
-    return found.withColumns({out: F.when(valid, single), f"{out}_ok": valid}).drop("__found")
+    valid = F.coalesce(F.col("__sound") & (F.size("__found") == 1) & single.isNotNull(), F.lit(False))
+    return found.withColumns({out: F.when(valid, single), f"{out}_ok": valid}).drop("__found", "__sound")
+
+
+def _split_answers(df: DataFrame, keys: Sequence[str], json_col: str) -> DataFrame:
+    """``(keys, __top, __rows)``: the answer's object, NULL unless it is one, and its rows as objects.
+
+    A key that is there twice makes the answer unreadable, here as in ``annotate``.
+    """
+    parsed = df.select(*keys, F.try_parse_json(_strict(json_col)).alias("__parsed"))
+    objects = F.try_variant_get("__parsed", "$", "array<map<string,variant>>")
+    return (
+        parsed.select(*keys, objects.alias("__objects"))
+        .select(*keys, F.when(F.size("__objects") == 1, F.try_element_at("__objects", F.lit(1))).alias("__top"))
+        .withColumn(
+            "__rows",
+            F.transform(
+                F.try_variant_get(F.try_element_at("__top", F.lit("rows")), "$", "array<variant>"),
+                lambda r: F.try_variant_get(r, "$", "map<string,variant>"),
+            ),
+        )
+    )
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
 def decode_responses(
@@ -47,22 +75,49 @@ def decode_responses(
 ) -> DataFrame:
     """One row per answered row, with the keys: ``(keys, status, fields…)``.
 
-    An answer that is no JSON object, or has no rows, gives one row with NULL
-    fields and that status. Values of other types are read as text and unknown
-    fields are dropped; ``check_responses`` reports both.
+    An answer fails as a whole, with one row of NULL fields and that status, if it is no JSON object, has
+    no rows, or has a row that is no object or a vocabulary field that is neither text nor null. Fields that are missing are
+    NULL and unknown ones are dropped; ``check_responses`` reports both. ``annotate`` has the same rules.
     """
-    decoded = df.select(*keys, _decoded(json_col, response_type(vocab)).alias("__answers"))
-    single = F.try_element_at("__answers", F.lit(1))
-    rows = single["rows"]
+    fields = response_fields(vocab)
+    split = _split_answers(df, keys, json_col)
+
+    def other_type(row: Column) -> Column:
+        kinds = [F.schema_of_variant(F.try_element_at(row, F.lit(f))) for f in vocab]
+        return reduce(or_, [F.coalesce(~k.isin("STRING", "VOID"), F.lit(False)) for k in kinds])
+
     status = (
-        F.when(single.isNull() | (F.size("__answers") != 1), BAD_JSON)
-        .when(F.coalesce(F.size(rows), F.lit(0)) < 1, NO_ROWS)
+        F.when(F.col("__top").isNull(), BAD_JSON)
+        .when(F.coalesce(F.size("__rows"), F.lit(0)) < 1, NO_ROWS)
+        .when(F.exists("__rows", lambda r: r.isNull() | other_type(r)), BAD_TYPE)
         .otherwise(OK)
     )
-    judged = decoded.select(*keys, status.alias("status"), rows.alias("__rows"))
-    return judged.select(
-        *keys, "status", F.inline_outer(F.when(F.col("status") == OK, F.col("__rows")))
+    values = F.transform(
+        "__rows",
+        lambda r: F.struct(*[_text(F.try_element_at(r, F.lit(f))).alias(f) for f in fields]),
+    )
+    judged = split.select(*keys, status.alias("status"), "__rows")
+    return judged.select(*keys, "status", F.inline_outer(F.when(F.col("status") == OK, values)))
+
+
+def answer_text(response: Column, style: str = "json_schema") -> Column:
+    """The answer inside a service's response body, NULL if it holds none.
+
+    ``json_schema``: the content of the first choice's message. ``tool``: the input of the block that calls the tool of
+    that name; text blocks and other tools are no answer.
+    """
+    body = F.try_parse_json(response)
+    if style == "json_schema":
+        return F.try_variant_get(body, "$.choices[0].message.content", "string")
+    if style != "tool":
+        raise ValueError(f"unknown style {style!r}")
+    blocks = F.try_variant_get(body, "$.content", "array<variant>")
+    calls = F.filter(
+        blocks,
+        lambda b: (F.try_variant_get(b, "$.type", "string") == "tool_use")
+        & (F.try_variant_get(b, "$.name", "string") == TOOL_NAME),
     )
+    return F.to_json(F.try_variant_get(F.try_element_at(calls, F.lit(1)), "$.input", "variant"))
 
 
 def mark_failed(
@@ -93,23 +148,7 @@ def check_responses(
     counts), bad_confidence.
     """
     wanted = F.array(*[F.lit(f) for f in response_fields(vocab)])
-    parsed = df.select(*keys, F.try_parse_json(_strict(json_col)).alias("__parsed")).select(
-        *keys,
-        F.try_variant_get("__parsed", "$", "array<map<string,variant>>").alias("__objects"),
-    )
-    split = parsed.select(
-        *keys,
-        F.coalesce(F.size("__objects"), F.lit(0)).alias("__n"),
-        F.try_element_at("__objects", F.lit(1)).alias("__top"),
-    ).withColumn(
-        "__rows",
-        F.transform(
-            F.try_variant_get(
-                F.try_element_at("__top", F.lit("rows")), "$", "array<variant>"
-            ),
-            lambda r: F.try_variant_get(r, "$", "map<string,variant>"),
-        ),
-    )
+    split = _split_answers(df, keys, json_col)
 
     def any_row(test) -> Column:
         return F.exists("__rows", test)
@@ -122,7 +161,7 @@ def check_responses(
         return ~level.isin(CONFIDENCE_LEVELS)
 
     status = (
-        F.when((F.col("__n") != 1) | F.col("__top").isNull(), BAD_JSON)
+        F.when(F.col("__top").isNull(), BAD_JSON)
         .when(F.exists(F.map_keys("__top"), lambda k: k != "rows"), EXTRA)
         .when(F.coalesce(F.size("__rows"), F.lit(0)) < 1, NO_ROWS)
         .when(any_row(lambda r: r.isNull()), BAD_TYPE)

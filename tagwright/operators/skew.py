@@ -114,6 +114,8 @@ class Ordered:
         hot_rows: int = HOT_ROWS,
     ):
         self.group = [*keys, _SLICE]
+        # Without hot keys there is one slice, so lists may be grouped as the rows already lie.
+        self.list_group = self.group
         counts = df.groupBy(*keys).agg(F.expr("count(*) AS __n")).filter(f"__n > {hot_rows}")
         total = counts.agg(F.sum("__n")).first()[0]
         if total is None:
@@ -122,12 +124,13 @@ class Ordered:
             self.position = f"CAST(row_number() {self.over} AS BIGINT) - 1"
             return
 
+        self.list_group = list(keys)
         folder = shared_folder(df.sparkSession, "ordered")
         counts.selectExpr(*[f"{named(k)} AS {named('__hot_' + k)}" for k in keys]).write.parquet(
             f"{folder}/keys"
         )
-        # At most rows / hot_rows keys, which is what bounds this broadcast.
-        hot_keys = F.broadcast(df.sparkSession.read.parquet(f"{folder}/keys"))
+        # At most rows / hot_rows keys; Spark broadcasts them if they are small.
+        hot_keys = df.sparkSession.read.parquet(f"{folder}/keys")
         is_hot = F.expr(_same(keys, "__hot_"))
         cold = df.join(hot_keys, is_hot, "left_anti")
         pieces = -(-total // hot_rows)
@@ -157,9 +160,9 @@ def bounded_lists(
 ) -> DataFrame:
     """Lists of SQL expressions in position order, at most ``size`` elements each.
 
-    ``group`` is the ``group`` of an ``Ordered``; grouping by it and a piece
-    number needs no further shuffle. ``start`` is the position of the first
-    element; a key with more rows than fit, or a hot key, has several list rows.
+    ``group`` is the ``list_group`` of an ``Ordered``. Element ``i`` of a key is in its piece
+    ``i / size``, whether the key is hot or not: ``start``, the position of the first element, is a
+    multiple of ``size``. Grouping needs a further shuffle only where there are hot keys.
     """
     elements = ", ".join(f"{e} AS {named(n)}" for n, e in lists.items())
     collected = f"array_sort(collect_list(struct({named(position)} AS at, {elements})))"

@@ -59,17 +59,22 @@ def rotate(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 def ade(
     pred: DataFrame, truth: DataFrame, keys: Sequence[str], sample: str, step: str = "step"
 ) -> DataFrame:
-    """Mean distance in the XY plane per (key, sample); NULL if a step has no true point.
+    """Mean distance in the XY plane per (key, sample); NULL unless its steps are those of the truth.
 
     The join key contains the step, so one key with many samples is spread over
-    as many tasks as it has steps; the mean is pre-aggregated before its shuffle.
+    as many tasks as it has steps, and hot ones can be split; the mean is pre-aggregated before its shuffle. Both
+    sides have each step once.
     """
     true_points = truth.selectExpr(*map(named, [*keys, step]), "x AS __tx", "y AS __ty")
+    steps = truth.groupBy(*keys).agg(F.count(F.lit(1)).alias("__steps"))
     mean = f"avg({_length(['x - __tx', 'y - __ty'])})"
-    return (
-        pred.join(true_points, [*keys, step], "left")
+    means = (
+        spread_join(pred, true_points, [*keys, step], "left")
         .groupBy(*keys, sample)
-        .agg(F.expr(f"CASE WHEN count(__tx) = count(*) THEN {mean} END AS ade"))
+        .agg(F.expr("count(__tx) AS __met"), F.expr("count(*) AS __all"), F.expr(f"{mean} AS __mean"))
+    )
+    return spread_join(means, steps, keys, "left").selectExpr(
+        *map(named, [*keys, sample]), "CASE WHEN __met = __all AND __all = __steps THEN __mean END AS ade"
     )
 
 
@@ -87,7 +92,7 @@ def _kinematics(
     axes: Sequence[str],
     dt: float,
     hot_rows: int,
-) -> tuple[DataFrame, list[str]]:
+) -> tuple[DataFrame, Ordered]:
     order = [order] if isinstance(order, str) else list(order)
     steps = Ordered(
         df.select(*dict.fromkeys([*keys, *order, *axes])), keys, order, context=2, hot_rows=hot_rows
@@ -117,7 +122,7 @@ def _kinematics(
         series.selectExpr(
             "*", f"{throttle('acceleration')} AS throttle", f"{brake('acceleration')} AS brake"
         ),
-        steps.group,
+        steps,
     )
 
 
@@ -149,15 +154,15 @@ def control_lists(
 ) -> DataFrame:
     """``(keys, start, speed_control, brake_control)``, rounded to two decimals.
 
-    A trajectory with more than ``list_rows`` values has several rows, in order
-    of ``start``, the 0-based index of the first value in the row.
+    Each row has ``list_rows`` values, the last of a trajectory up to that many; ``start`` is the
+    0-based index of its first value, 0, ``list_rows``, and so on.
     """
-    series, group = _kinematics(df, keys, order, axes, dt, hot_rows)
+    series, steps = _kinematics(df, keys, order, axes, dt, hot_rows)
     controls = series.filter("position > 1").selectExpr(
-        *map(named, group), "position - 2 AS at", "throttle", "brake"
+        *map(named, steps.group), "position - 2 AS at", "throttle", "brake"
     )
     lists = {"speed_control": "bround(throttle, 2)", "brake_control": "bround(brake, 2)"}
-    return bounded_lists(controls, group, "at", list_rows, lists)
+    return bounded_lists(controls, steps.list_group, "at", list_rows, lists)
 
 
 # ---- array layout -----------------------------------------------------------

@@ -45,7 +45,7 @@ class Annotation:
         """
         spark = traces.sparkSession
         answers = f"{self.folder}/{name}_answers"
-        asked = non_blank(traces, self.text).withColumn(self.text, unwrapped(F.col(self.text)))
+        asked = non_blank(traces, self.text).withColumn(self.text, unwrapped(self.text))
         asked = asked.withColumn("prompt", prompt(F.col(self.key), F.col(self.text)))
         annotate(
             asked.select(self.key, self.text, "prompt"),

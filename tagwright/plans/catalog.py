@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagwright.functions.text import WHITESPACE, unwrapped
+from tagwright.functions.text import WHITESPACE, samples, unwrapped
 from tagwright.operators import annotate as an
 from tagwright.operators import prompts as pr
 from tagwright.operators import quality as qa
@@ -20,10 +20,11 @@ from tagwright.operators import rows as rw
 from tagwright.operators import trajectory as tr
 from tagwright.operators import validate as va
 from tagwright.plans.annotation import Annotation
+from tagwright.plans.offline import OfflineAnnotation
 from tagwright.sources import files
 from tagwright.sources.shared import shared_folder
 from tagwright.streaming.ingest import process_new_files
-from tagwright.vocabulary import VOCABULARY, vocabulary_table
+from tagwright.vocabulary import TOOL_NAME, VOCABULARY, vocabulary_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,16 +129,16 @@ def kth_row(spark, folder):
 
 @query(
     """
-    SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
     WHERE regexp_matches(CAST(c_custkey AS VARCHAR), 'BUILD|7.7')
        OR regexp_matches(c_name, 'BUILD|7.7')
        OR regexp_matches(CAST(c_nationkey AS VARCHAR), 'BUILD|7.7')
+       OR regexp_matches(CAST(c_acctbal AS VARCHAR), 'BUILD|7.7')
        OR regexp_matches(c_mktsegment, 'BUILD|7.7')
     """
 )
 def any_column_contains(spark, folder):
-    customers = table(spark, folder, "customer").drop("c_acctbal")
-    return rc.failed_rows(customers, "BUILD|7.7")
+    return rc.failed_rows(table(spark, folder, "customer"), "BUILD|7.7")
 
 
 def _checked_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,14 +320,14 @@ def validation_outcomes(spark, folder):
     return parts.unionByName(orders)
 
 
-def _line_cell(values: Sequence[str], place: int, array: str, at: str) -> str:
+def _line_cell(values: Sequence[str], place: int, at: str) -> str:
     """SQL of one cell per order line: clean, two values, odd spelling, near or unknown value.
 
-    The same text for both engines but for array literals and indexing.
+    The same text for both engines but for the choice of a value.
     """
-    known = array.format(", ".join(f"'{v}'" for v in values))
-    value = at.format(known, f"(l_partkey + {place} * l_linenumber) % {len(values)}")
-    other = at.format(known, f"(l_suppkey + {place}) % {len(values)}")
+    known = ", ".join(f"'{v}'" for v in values)
+    value = at.format(known=known, i=f"CAST((l_partkey + {place} * l_linenumber) % {len(values)} AS INT) + 1")
+    other = at.format(known=known, i=f"CAST((l_suppkey + {place}) % {len(values)} AS INT) + 1")
     return (
         f"CASE WHEN l_discount >= 0.09 THEN {value} || ' , ' || {other} "
         f"WHEN l_quantity > 40 THEN upper(replace({value}, '_', ' ')) "
@@ -335,7 +336,7 @@ def _line_cell(values: Sequence[str], place: int, array: str, at: str) -> str:
 
 
 _SQL_LINE_CELLS = ", ".join(
-    f"{_line_cell(values, i, '[{}]', '{}[CAST({} AS INTEGER) + 1]')} AS {field}"
+    f"{_line_cell(values, i, '[{known}][{i}]')} AS {field}"
     for i, (field, values) in enumerate(VOCABULARY.items())
 )
 
@@ -371,7 +372,7 @@ def driving_rows(spark, folder):
         "l_orderkey",
         "l_linenumber",
         *[
-            f"{_line_cell(values, i, 'array({})', 'element_at({}, CAST({} AS INT) + 1)')} AS {field}"
+            f"{_line_cell(values, i, 'elt({i}, {known})')} AS {field}"
             for i, (field, values) in enumerate(VOCABULARY.items())
         ],
         "'high' AS confidence",
@@ -632,7 +633,7 @@ def definition_block(spark, folder):
 
 
 _SQL_PROMPT = (
-    "'Parse the following reasoning trace into the ontology.' || chr(10) || chr(10) || "
+    "'Parse the following CoC reasoning trace into the ontology.' || chr(10) || chr(10) || "
     "'Clip ID: ' || doc_id || chr(10) || 'Reasoning Trace: \"' || text || '\"' "
     "|| chr(10) || chr(10) || "
 )
@@ -660,15 +661,29 @@ def _as_lines(messages: str | Column) -> Column:
     )
 
 
-@query(
-    """
-    SELECT conv_id, 0 AS start, count(*) AS n,
-           string_agg(role || ': ' || text, chr(10) ORDER BY turn, role, text) AS chat
-    FROM conversations GROUP BY 1
-    """
-)
+_SQL_CHATS = """
+    WITH t AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos
+        FROM conversations)
+    SELECT conv_id, CAST(pos // 4 * 4 AS INTEGER) AS start, count(*) AS n,
+           string_agg(role || ': ' || text, chr(10) ORDER BY pos) AS chat
+    FROM t GROUP BY conv_id, pos // 4
+"""
+
+
+@query(_SQL_CHATS)
 def chat_messages(spark, folder):
-    chats = pr.messages_from_turns(table(spark, folder, "conversations"), ["conv_id"])
+    return _chats(pr.messages_from_turns(table(spark, folder, "conversations"), ["conv_id"], max_turns=4))
+
+
+@query(_SQL_CHATS)
+def chat_messages_cut(spark, folder):
+    """The same, with conversations of more than seven turns cut into ranges."""
+    turns = table(spark, folder, "conversations")
+    return _chats(pr.messages_from_turns(turns, ["conv_id"], max_turns=4, hot_rows=7))
+
+
+def _chats(chats: DataFrame) -> DataFrame:
     return chats.select(
         "conv_id",
         F.col("start").cast("int").alias("start"),
@@ -682,17 +697,16 @@ def chat_messages(spark, folder):
     WITH t AS (
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos
         FROM conversations)
-    SELECT conv_id,
+    SELECT conv_id, (pos - 1) // 4 * 4 AS start,
            string_agg(role || ': ' || CASE pos WHEN 1 THEN 'Go on from here.' ELSE text END, chr(10)
                       ORDER BY pos) AS chat
-    FROM t GROUP BY 1
+    FROM t GROUP BY conv_id, (pos - 1) // 4
     """
 )
 def first_message_override(spark, folder):
-    chats = pr.messages_from_turns(table(spark, folder, "conversations"), ["conv_id"])
-    other = pr.with_first_text(F.col("messages"), F.lit("Go on from here."))
-    changed = F.when(F.col("start") == 0, other).otherwise(F.col("messages"))
-    return chats.select("conv_id", _as_lines(changed).alias("chat"))
+    chats = pr.messages_from_turns(table(spark, folder, "conversations"), ["conv_id"], max_turns=4)
+    changed = pr.with_first_text(F.col("messages"), F.lit("Go on from here."), F.col("start"))
+    return chats.select("conv_id", F.col("start").cast("bigint").alias("start"), _as_lines(changed).alias("chat"))
 
 
 @query(
@@ -733,7 +747,8 @@ def unwrap_trace(spark, folder):
     wrapped = F.when(quote == "", F.col("text")).otherwise(
         F.concat(F.lit("[["), quote, "text", quote, F.lit("]]"))
     )
-    return table(spark, folder, "documents").select("doc_id", unwrapped(wrapped).alias("trace"))
+    docs = table(spark, folder, "documents").select("doc_id", wrapped.alias("trace"))
+    return docs.select("doc_id", unwrapped("trace").alias("trace"))
 
 
 # ---- annotation -------------------------------------------------------------
@@ -977,17 +992,17 @@ _SQL_ADE = """
 
 @query(f"{_SQL_ADE} SELECT label, vec_id, round(ade, 6) AS ade FROM a")
 def ade(spark, folder):
-    samples, truth = _trajectories(spark, folder)
+    predicted, truth = _trajectories(spark, folder)
     ids = truth.select("label", "truth_id")
-    errors = tr.ade(tr.to_steps(samples), tr.to_steps(truth), ["label"], "vec_id")
+    errors = tr.ade(tr.to_steps(predicted), tr.to_steps(truth), ["label"], "vec_id")
     others = rc.missing(errors, ids.withColumnRenamed("truth_id", "vec_id"), "vec_id")
     return others.select("label", "vec_id", F.round("ade", 6).alias("ade"))
 
 
 @query(f"{_SQL_ADE} SELECT label, round(min(ade), 6) AS min_ade FROM a GROUP BY 1")
 def min_ade(spark, folder):
-    samples, truth = _trajectories(spark, folder)
-    errors = tr.ade_arrays(samples, truth, ["label"])
+    predicted, truth = _trajectories(spark, folder)
+    errors = tr.ade_arrays(predicted, truth, ["label"])
     others = rc.missing(
         errors.select("label", "vec_id", "ade"), truth.select(F.col("truth_id").alias("vec_id")), "vec_id"
     )
@@ -1002,8 +1017,8 @@ def min_ade(spark, folder):
     """
 )
 def rotate_points(spark, folder):
-    samples, _ = _trajectories(spark, folder)
-    points = tr.rotate(tr.to_steps(samples))
+    predicted, _ = _trajectories(spark, folder)
+    points = tr.rotate(tr.to_steps(predicted))
     return points.select("vec_id", F.col("step").cast("bigint").alias("step"), "x", "y")
 
 
@@ -1032,12 +1047,12 @@ _SQL_VECTOR_SERIES = """
 )
 def vector_series(spark, folder):
     """The array layout: no shuffle at all."""
-    samples, _ = _trajectories(spark, folder)
+    predicted, _ = _trajectories(spark, folder)
 
     def total(values: str) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda so_far, x: so_far + x)
 
-    series = tr.add_series(samples.select("vec_id", "points"))
+    series = tr.add_series(predicted.select("vec_id", "points"))
     return series.select(
         "vec_id",
         F.size("speeds").cast("bigint").alias("n_speeds"),
@@ -1067,9 +1082,9 @@ _SLOW = 7.0
 _SQL_SLOW_STEPS = _SQL_SERIES.format(dt="7.0::DOUBLE")
 
 
-def _event_series(spark: SparkSession, folder: str, dt: float) -> DataFrame:
+def _event_series(spark: SparkSession, folder: str, dt: float, **how) -> DataFrame:
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", "value")
-    return tr.kinematics(events, ["user_id"], ["ts", "event_id"], ["value"], dt)
+    return tr.kinematics(events, ["user_id"], ["ts", "event_id"], ["value"], dt, **how)
 
 
 @query(
@@ -1081,7 +1096,17 @@ def _event_series(spark: SparkSession, folder: str, dt: float) -> DataFrame:
     """
 )
 def step_speed(spark, folder):
-    return _event_series(spark, folder, tr.STEP_SECONDS).select(
+    return _steps(_event_series(spark, folder, tr.STEP_SECONDS))
+
+
+@query(SQL["step_speed"])
+def step_speed_cut(spark, folder):
+    """The same, with users of more than 75 events cut into ranges."""
+    return _steps(_event_series(spark, folder, tr.STEP_SECONDS, hot_rows=75))
+
+
+def _steps(series: DataFrame) -> DataFrame:
+    return series.select(
         "user_id",
         "event_id",
         F.col("position").cast("bigint").alias("position"),
@@ -1110,18 +1135,255 @@ def throttle_brake(spark, folder):
     )
 
 
+_SQL_LISTS = f"""
+    {_SQL_STEPS}
+    SELECT user_id, (position - 2) // 10 * 10 AS start, count(*) AS n,
+           string_agg(CAST(CAST(round(round_even(throttle, 2) * 100) AS INTEGER) AS VARCHAR), ',' ORDER BY position) AS speeds,
+           string_agg(CAST(CAST(round(round_even(brake, 2) * 100) AS INTEGER) AS VARCHAR), ',' ORDER BY position) AS brakes
+    FROM c WHERE position > 1 GROUP BY user_id, (position - 2) // 10
+"""
+
+
+def _control_lists(spark: SparkSession, folder: str, **how) -> DataFrame:
+    """Lists of ten values each, as whole percents."""
+    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "value")
+    lists = tr.control_lists(events, ["user_id"], ["ts", "event_id"], ["value"], list_rows=10, **how)
+
+    def percents(values: str) -> Column:
+        return F.array_join(F.transform(values, lambda v: F.round(v * 100).cast("int").cast("string")), ",")
+
+    return lists.select(
+        "user_id",
+        F.col("start").cast("bigint").alias("start"),
+        F.size("speed_control").cast("bigint").alias("n"),
+        percents("speed_control").alias("speeds"),
+        percents("brake_control").alias("brakes"),
+    )
+
+
+@query(_SQL_LISTS)
+def control_lists(spark, folder):
+    return _control_lists(spark, folder)
+
+
+@query(_SQL_LISTS)
+def control_lists_cut(spark, folder):
+    """The same, with users of more than 75 events cut into ranges."""
+    return _control_lists(spark, folder, hot_rows=75)
+
+
+# ---- requests and answers in files --------------------------------------------
+
+
 @query(
     f"""
-    {_SQL_STEPS}
-    SELECT user_id, position - 2 AS idx, round_even(throttle, 2) AS speed_control,
-           round_even(brake, 2) AS brake_control
-    FROM c WHERE position > 1
+    SELECT doc_id, 'json_schema' AS style, 'system' AS first_role, 2 AS n_messages,
+           {_SQL_PROMPT} 'Return the parsed JSON.' AS content, 'ontology_parse' AS shape
+    FROM documents
+    UNION ALL
+    SELECT doc_id, 'tool', 'user', 1,
+           {_SQL_PROMPT} 'Call the submit_ontology_parse tool with the parsed result.', 'submit_ontology_parse'
+    FROM documents
     """
 )
-def control_lists(spark, folder):
-    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "value")
-    lists = tr.control_lists(events, ["user_id"], ["ts", "event_id"], ["value"])
-    zipped = F.posexplode(F.arrays_zip("speed_control", "brake_control")).alias("idx", "pair")
-    return lists.select("user_id", "start", zipped).select(
-        "user_id", (F.col("start") + F.col("idx")).alias("idx"), "pair.speed_control", "pair.brake_control"
+def batch_requests(spark, folder):
+    """The request files of both styles, written and read again by id."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = None
+    for style in "json_schema", "tool":
+        run = OfflineAnnotation(
+            shared_folder(spark, "batch_requests"), "Label it.", "any-model", style, "doc_id", "text", DOCUMENT_VOCABULARY
+        )
+        lines = spark.read.schema(
+            "custom_id string, body struct<messages: array<struct<role: string, content: string>>, "
+            "response_format: struct<json_schema: struct<name: string>>, tool_choice: struct<name: string>>"
+        ).json(run.requests(docs, "first"))
+        messages = F.col("body.messages")
+        read = lines.select(
+            F.col("custom_id").cast("bigint").alias("doc_id"),
+            F.lit(style).alias("style"),
+            messages[0]["role"].alias("first_role"),
+            F.size(messages).alias("n_messages"),
+            F.element_at(messages, -1)["content"].alias("content"),
+            F.coalesce("body.response_format.json_schema.name", "body.tool_choice.name").alias("shape"),
+        )
+        found = read if found is None else found.union(read)
+    return found
+
+
+def _answer_file(spark: SparkSession, docs: DataFrame, style: str, path: str, faulty: bool) -> str:
+    """Answer lines as a service would write them; if ``faulty``, in every way that an answer can fail."""
+    row = F.struct(
+        F.upper("lang").alias("lang"),
+        F.when(F.length("text") > 2000, "long").otherwise("Shor").alias("size"),
+        F.lit("high").alias("confidence"),
+        F.lit("").alias("confidence_notes"),
+    )
+    good = F.to_json(F.struct(F.array(row).alias("rows")))
+    kind = F.pmod(F.col("doc_id"), F.lit(10))
+    answer = good
+    if faulty:
+        for i, text in enumerate(['{"rows": []}', '{"rows": [null]}', '{"rows": [{"lang": 1}]}', "Sorry, I cannot."]):
+            answer = F.when(kind == i + 1, text).otherwise(answer)
+        answer = F.when(kind == 6, F.replace(good, F.lit('"size"'), F.lit('"lang":"en","size"'))).otherwise(answer)
+    if style == "json_schema":
+        message = F.struct(F.struct(answer.alias("content")).alias("message"))
+        body = F.to_json(F.struct(F.array(message).alias("choices")))
+        body = F.when(kind == 5, '{"choices": []}').otherwise(body) if faulty else body
+        wrapped = [F.lit('", "response": {"body": '), body, F.lit("}}")]
+    else:
+        tool = F.lit(f'{{"type": "text", "text": "Well."}}, {{"type": "tool_use", "name": "{TOOL_NAME}", "input": ')
+        call = F.concat(tool, F.when(kind == 4, '"none"').otherwise(answer) if faulty else answer, F.lit("}"))
+        other = '{"type": "tool_use", "name": "another_tool", "input": {}}'
+        blocks = F.when(kind == 5, other).otherwise(call) if faulty else call
+        wrapped = [F.lit('", "result": {"message": {"content": ['), blocks, F.lit("]}}}")]
+    line = F.concat(F.lit('{"custom_id": "'), F.col("doc_id").cast("string"), *wrapped)
+    told = docs.filter(kind != 7) if faulty else docs
+    files.write_lines(told.select(line.alias("line")), "line", path)
+    return path
+
+
+_SQL_OFFLINE_GOOD = """
+    CASE WHEN length(text) > 2000 THEN 'high' ELSE 'medium' END AS confidence,
+    CASE WHEN length(text) > 2000 THEN '' ELSE 'VALIDATION: size: ''shor'' → fuzzy matched to ''short''' END
+        AS confidence_notes
+"""
+
+
+@query(
+    f"""
+    WITH s AS (
+        SELECT *, CASE doc_id % 10 WHEN 1 THEN 'no_rows' WHEN 2 THEN 'bad_type' WHEN 3 THEN 'bad_type'
+                       WHEN 4 THEN 'bad_json' WHEN 5 THEN 'no_answer' WHEN 6 THEN 'bad_json'
+                       WHEN 7 THEN 'no_answer' ELSE 'ok' END AS status
+        FROM documents),
+    g AS (SELECT doc_id, status, lang, CASE WHEN length(text) > 2000 THEN 'long' ELSE 'short' END AS size,
+                 {_SQL_OFFLINE_GOOD} FROM s),
+    f AS (SELECT doc_id, status, lang, size, confidence, confidence_notes FROM g WHERE status = 'ok'
+          UNION ALL SELECT doc_id, status, 'PARSE_ERROR', 'PARSE_ERROR', 'low', 'Failed after 1 attempts'
+          FROM g WHERE status <> 'ok')
+    SELECT style, 'first' AS round, f.* FROM f, (SELECT unnest(['json_schema', 'tool']) AS style)
+    WHERE style = 'json_schema' OR doc_id % 10 <> 6
+    UNION ALL
+    SELECT style, 'merged', doc_id, 'ok', lang, size, confidence, confidence_notes
+    FROM g, (SELECT unnest(['json_schema', 'tool']) AS style)
+    WHERE style = 'json_schema' OR doc_id % 10 <> 6
+    """
+)
+def offline_annotation(spark, folder):
+    """Requests, answers with faults, a table with dead letters, a second round for those, the merged table."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = None
+    for style in "json_schema", "tool":
+        base = shared_folder(spark, "offline_annotation")
+        run = OfflineAnnotation(base, "Label it.", "any-model", style, "doc_id", "text", DOCUMENT_VOCABULARY)
+        # A tool's input is an object already, so a key cannot be there twice.
+        asked = docs if style == "json_schema" else docs.filter("doc_id % 10 <> 6")
+        run.requests(asked, "first")
+        first_answers = _answer_file(spark, asked, style, f"{base}/first_answers", True)
+        first = run.table(asked, run.answers(spark, first_answers), "first")
+        again = run.failed_traces(first, asked)
+        run.requests(again, "second")
+        second_answers = _answer_file(spark, again, style, f"{base}/second_answers", False)
+        merged = run.merge(first, run.table(again, run.answers(spark, second_answers), "second"))
+        both = first.withColumn("round", F.lit("first")).unionByName(merged.withColumn("round", F.lit("merged")))
+        styled = both.withColumn("style", F.lit(style))
+        found = styled if found is None else found.unionByName(styled)
+    return found
+
+
+# ---- planted cases ------------------------------------------------------------
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    t AS (SELECT label, min(vec_id) AS truth_id FROM v GROUP BY 1),
+    p AS (SELECT v.vec_id, v.label, v.e, g.e AS ge, unnest(range(1, 33)) AS step
+          FROM v JOIN t USING (label) JOIN v g ON g.vec_id = t.truth_id),
+    s AS (SELECT * FROM p WHERE vec_id % 4 <> 1 OR step <= 8)
+    SELECT label, vec_id, CASE WHEN vec_id % 4 NOT IN (1, 2) THEN
+           round(avg(sqrt((e[step] - ge[step]) ** 2 + (e[step + 32] - ge[step + 32]) ** 2)), 6) END AS ade
+    FROM s GROUP BY label, vec_id
+    """
+)
+def ade_uneven(spark, folder):
+    """Predictions that are too short or too long have no error value."""
+    predicted, truth = _trajectories(spark, folder)
+    steps = tr.to_steps(predicted).filter("vec_id % 4 <> 1 OR step < 8")
+    late = tr.to_steps(predicted).filter("vec_id % 4 = 2 AND step = 0").withColumn("step", F.lit(32))
+    errors = tr.ade(steps.unionByName(late), tr.to_steps(truth), ["label"], "vec_id")
+    return errors.select("label", "vec_id", F.round("ade", 6).alias("ade"))
+
+
+@query(
+    """
+    WITH t AS (SELECT doc_id, doc_id % 6 AS kind, left(replace(replace(text, '''', ''), '"', ''), 40) AS t FROM documents),
+    w AS (SELECT *, replace(t, chr(10), '\\n') AS said FROM t)
+    SELECT doc_id,
+           CASE kind WHEN 0 THEN t WHEN 1 THEN 'it''s ' || t
+                     WHEN 2 THEN '[[''' || said || ''', ''b'']]' WHEN 3 THEN '[[''' || said || '''], ["b"]]'
+                     WHEN 4 THEN t || '''"\\' ELSE '[' || said || ']' END AS trace,
+           CASE kind WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 1 END AS n_samples,
+           CASE kind WHEN 1 THEN 'it''s ' || t WHEN 4 THEN t || '''"\\' WHEN 5 THEN NULL ELSE t END AS first_text
+    FROM w
+    """
+)
+def unwrap_samples(spark, folder):
+    """One text is unwrapped, escapes undone; lists of several texts stay as they are and are parsed."""
+    text = F.substring(F.replace(F.replace("text", F.lit("'")), F.lit('"')), F.lit(1), F.lit(40))
+    said, kind = F.replace(text, F.lit("\n"), F.lit("\\n")), F.pmod(F.col("doc_id"), F.lit(6))
+    printed = {
+        0: ("[['", said, "']]"),
+        1: ('[["it\'s ', said, '"]]'),
+        2: ("[['", said, "', 'b']]"),
+        3: ("[['", said, "'], [\"b\"]]"),
+        4: ("[['", said, "\\'\"\\\\']]"),
+        5: ("[", said, "]"),
+    }
+    cell = F.lit(None)
+    for i, (before, middle, after) in printed.items():
+        cell = F.when(kind == i, F.concat(F.lit(before), middle, F.lit(after))).otherwise(cell)
+    docs = table(spark, folder, "documents").select("doc_id", cell.alias("cell"))
+    parsed = docs.select("doc_id", unwrapped("cell").alias("trace"), samples("cell").alias("lists"))
+    return parsed.select(
+        "doc_id",
+        "trace",
+        F.when(F.col("lists").isNotNull(), F.size("lists")).alias("n_samples"),
+        F.col("lists")[0][0].alias("first_text"),
+    )
+
+
+DRIVING_PHRASES = [
+    "Slow for a lead vehicle", "Keep distance to the lead car", "Slow for a red light", "Stop for the stop sign",
+    "Slow for a pedestrian crossing", "Slow for a curve", "Slow to create a gap for lane change", "Nudge within lane",
+    "Nudge over the line", "Change lane to the left", "Merge onto highway", "A yellow light at a crosswalk",
+    "Rain, fog, night", "Construction zone behind a construction warning sign", "Slow for bumps and hills",
+    "The lane is ending", "Lane merging, lane splitting", "Need to turn left ahead",
+]
+_SQL_PHRASES = ", ".join(f"'{p}'" for p in DRIVING_PHRASES)
+
+
+def _sql_labels(field: str) -> str:
+    hits = ", ".join(
+        f"CASE WHEN regexp_matches(t, '{r[1]}') THEN '{r[2]}' END" for r in an.DRIVING_RULES if r[0] == field
     )
+    return f"coalesce(nullif(concat_ws(',', {hits}), ''), 'none') AS {field}"
+
+
+_RULE_FIELDS = list(dict.fromkeys(r[0] for r in an.DRIVING_RULES))
+
+
+@query(
+    f"""
+    SELECT doc_id, {", ".join(map(_sql_labels, _RULE_FIELDS))}
+    FROM (SELECT doc_id, lower(text || ' ' || [{_SQL_PHRASES}][CAST(doc_id % {len(DRIVING_PHRASES)} AS INTEGER) + 1]) AS t
+          FROM documents)
+    """
+)
+def driving_rule_labels(spark, folder):
+    """The built-in rules over whole documents, each with one driving phrase at its end."""
+    phrase = F.expr(f"elt(CAST(doc_id % {len(DRIVING_PHRASES)} AS INT) + 1, {_SQL_PHRASES})")
+    docs = table(spark, folder, "documents").select("doc_id", F.concat_ws(" ", "text", phrase).alias("text"))
+    labelled = an.label_by_rules(docs, "text", an.DRIVING_RULES, lower=True)
+    return labelled.select("doc_id", *[F.array_join(f, ",").alias(f) for f in _RULE_FIELDS])

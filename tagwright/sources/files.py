@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagwright.functions.text import named
 from tagwright.vocabulary import NOT_MENTIONED
 
 # Quotes inside quotes are doubled, as most CSV writers do; Spark's own default is a backslash.
@@ -20,6 +21,13 @@ _CSV = {
 }
 
 
+# Cells that count as missing by default in data frame libraries.
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same table, or a ``ValueError`` that lists what is available. Starts no job."""
     absent = [c for c in columns if c not in df.columns]
@@ -34,15 +42,30 @@ def read_csv(
     schema: str | T.StructType | None = None,
     required: Sequence[str] = (),
     multi_line: bool = False,
+    null_tokens: Sequence[str] = (),
 ) -> DataFrame:
     """CSV with a header. Without a schema all columns are text; types are never guessed.
 
     Headers of all files must agree with the schema. Empty cells are NULL.
     ``multi_line`` allows line breaks inside quotes, at the price of reading each
-    file in one task.
+    file in one task. Text cells that are one of ``null_tokens`` are NULL too, whatever their
+    column's type; ``NULL_TOKENS`` are those that data frame libraries take for missing.
     """
     reader = spark.read.options(**_CSV, enforceSchema=False, multiLine=multi_line)
-    return require_columns((reader.schema(schema) if schema else reader).csv(path), required)
+    if not null_tokens:
+        return require_columns((reader.schema(schema) if schema else reader).csv(path), required)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if wanted:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted]))
+    text = require_columns(reader.csv(path), required)
+    kinds = {f.name: f.dataType for f in wanted or text.schema}
+    known = F.array(*[F.lit(t) for t in null_tokens])
+    return text.select(
+        *[
+            F.when(~F.array_contains(known, F.col(named(c))), F.col(named(c))).try_cast(kinds[c]).alias(c)
+            for c in text.columns
+        ]
+    )
 
 
 def read_column(spark: SparkSession, path: str, column: str) -> DataFrame:

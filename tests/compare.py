@@ -61,7 +61,7 @@ if __name__ == "__main__":
     sql = entry.oracle_sql()
     bad = 0
     for name, build in entry.queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in sql:
             continue
         start = time.time()
         try:

@@ -1,4 +1,9 @@
+import itertools
 import json
+import os
+import re
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,8 +44,9 @@ def test_retries_pause_after_errors_but_not_after_the_last_or_after_empty_answer
 def test_answers_are_checked_like_failed_calls():
     assert an.answered_rows('{"rows": [{"a": "x"}]}', VOCAB) == [{"a": "x"}]
     assert an.answered_rows({"rows": None}, VOCAB) == []
-    assert an.answered_rows({"rows": [{"a": None}, {"a": 0}, {}]}, VOCAB) == [{"a": None}, {"a": 0}, {}]
-    for bad in ('{"rows": [', "[1]", '{"rows": "abc"}', '{"rows": [1]}', '{"rows": [{"a": 1}]}'):
+    assert an.answered_rows({"rows": [{"a": None}, {}]}, VOCAB) == [{"a": None}, {}]
+    twice = '{"rows": [{"a": "x", "a": "x"}]}'
+    for bad in ('{"rows": [', "[1]", '{"rows": "abc"}', '{"rows": [1]}', '{"rows": [null]}', '{"rows": [{"a": 1}]}', twice):
         with pytest.raises(Exception):
             an.answered_rows(bad, VOCAB)
 
@@ -73,6 +79,38 @@ def test_annotate(spark, partitions):
     assert got[None][0].a == "null key"
 
 
+def test_calls_overlap_and_each_task_makes_one_client(spark, tmp_path):
+    def client():
+        (tmp_path / f"client-{os.urandom(8).hex()}").touch()
+        lock, open_calls = threading.Lock(), []
+
+        def answer(row):
+            with lock:
+                open_calls.append(row["id"])
+                now = len(open_calls)
+            time.sleep(0.02 * (row["id"] % 3))
+            with lock:
+                open_calls.remove(row["id"])
+            if row["id"] % 10 == 9:
+                raise ConnectionError("down")
+            return {"rows": [{"a": str(now), "confidence_notes": str(row["id"])}]}
+
+        return answer
+
+    df = spark.range(600).repartition(2)
+    ids = [[r.id for r in p] for p in df.rdd.glom().collect()]
+    out = an.annotate(df, ["id"], vocab=VOCAB, attempts=1, concurrency=5, client=client, sleep=lambda s: None)
+    rows = out.withColumn("task", F.spark_partition_id()).collect()
+    for task in range(2):
+        assert [r.id for r in rows if r.task == task] == ids[task]
+    fine = [r for r in rows if r.status == "ok"]
+    assert len(fine) == 540 and all(r.confidence_notes == str(r.id) for r in fine)
+    assert 2 <= max(int(r.a) for r in fine) <= 5
+    assert len(list(tmp_path.iterdir())) == 2
+    with pytest.raises(ValueError, match="either"):
+        an.annotate(df, ["id"], vocab=VOCAB)
+
+
 def test_predict_never_fails_the_batch(spark):
     def predictor(row):
         if row["id"] == 1:
@@ -100,15 +138,62 @@ def test_rules(spark):
         ],
         "t string",
     )
-    got = an.label_by_rules(df, "t", an.DRIVING_RULES).collect()
+    got = an.label_by_rules(df, "t", an.DRIVING_RULES, lower=True).collect()
     assert "lead_obstacle_following" in got[0].maneuver_long
     assert got[0].traffic_light == ["red"]
     assert got[1].maneuver_lat == ["out_of_lane_nudge"]
     assert got[2].maneuver_long == ["stop_for_static_constraints"]
     assert got[2].traffic_control == ["stop_sign"] and got[2].odd_condition == ["rain", "night"]
     for row in got[3:]:
-        assert all(row[f] == ["none"] for f in {f for f, _, _ in an.DRIVING_RULES})
-    assert all(value in VOCABULARY[field] for field, _, value in an.DRIVING_RULES)
+        assert all(row[f] == ["none"] for f in {r[0] for r in an.DRIVING_RULES})
+    assert all(value in VOCABULARY[field] for field, _, value, _ in an.DRIVING_RULES)
+
+
+@pytest.mark.parametrize(
+    "text,field,value",
+    [
+        ("Slow for a lead vehicle", "maneuver_long", "lead_obstacle_following"),
+        ("Slow for a red light", "maneuver_long", "stop_for_static_constraints"),
+        ("Slow for a pedestrian crossing", "maneuver_long", "yield"),
+        ("Slow for a curve", "maneuver_long", "speed_adaptation"),
+        ("Slow to create a gap for lane change", "maneuver_long", "gap_searching"),
+        ("Nudge within lane", "maneuver_lat", "in_lane_nudge"),
+        ("Nudge over the line", "maneuver_lat", "out_of_lane_nudge"),
+        ("Change lane to the left", "maneuver_lat", "lane_change_left"),
+        ("Change lanes to the right", "maneuver_lat", "lane_change_right"),
+        ("Merge onto highway", "maneuver_lat", "merge_split"),
+        ("A red light", "traffic_light", "red"),
+        ("A green light", "traffic_light", "green"),
+        ("A yellow light", "traffic_light", "yellow"),
+        ("A stop sign", "traffic_control", "stop_sign"),
+        ("A yield sign", "traffic_control", "yield_sign"),
+        ("Crosswalk markings", "traffic_control", "pedestrian_crossing"),
+        ("Construction warning sign", "traffic_control", "construction_sign"),
+        ("Rain", "odd_condition", "rain"),
+        ("fog", "odd_condition", "fog"),
+        ("At night", "odd_condition", "night"),
+        ("Construction zone ahead", "odd_condition", "construction"),
+        ("Road curves", "road_geometry", "curve"),
+        ("bumps", "road_geometry", "speed_bump"),
+        ("hills", "road_geometry", "grade"),
+        ("Lane ending", "lane_config", "lane_end"),
+        ("the lane merging", "lane_config", "lane_merge"),
+        ("lane splitting", "lane_config", "lane_split"),
+        ("Need to turn left ahead", "routing_intent", "turn_left"),
+        ("Need to turn right ahead", "routing_intent", "turn_right"),
+    ],
+)
+def test_every_stated_phrase_is_labelled(spark, text, field, value):
+    row = an.label_by_rules(spark.createDataFrame([(text,)], "t string"), "t", an.DRIVING_RULES, lower=True).collect()[0]
+    assert value in row[field]
+
+
+def test_words_of_rules_never_hide_a_hit():
+    """A rule's words are in what its own pattern matches: dropping them changes nothing on the phrases."""
+    texts = [" ".join(p).lower() for p in itertools.permutations(["slow for the red traffic light", "nudge over the line", "lane change left"])]
+    for _, pattern, _, words in an.DRIVING_RULES:
+        for t in texts:
+            assert not re.search(pattern, t) or any(w in t for w in words)
 
 
 def test_values_of_several_patterns_are_not_repeated(spark):

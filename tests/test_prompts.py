@@ -49,13 +49,10 @@ def test_turns_become_whole_ordered_chats(spark, hot_rows, max_turns):
 
 def test_copies_of_one_turn_do_not_make_an_oversized_cell(spark):
     df = spark.createDataFrame([("a", 0, "user", "same")] * 25, "conv string, turn int, role string, text string")
-    for hot_rows, pieces in (100, [(0, 10), (10, 10), (20, 5)]), (5, None):
+    for hot_rows in (100, 5):
         out = pr.messages_from_turns(df, ["conv"], max_turns=10, hot_rows=hot_rows).collect()
         found = sorted((r.start, len(r.messages)) for r in out)
-        assert pieces is None or found == pieces
-        assert max(n for _, n in found) <= 10
-        assert [at for at, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))]
-        assert sum(n for _, n in found) == 25
+        assert found == [(0, 10), (10, 10), (20, 5)]
 
 
 def test_first_text_is_replaced(spark):

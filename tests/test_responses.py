@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tagwright import vocabulary as vo
 from tagwright.operators import responses as rs
+from tagwright.operators.annotate import answered_rows
 
 VOCAB = {"a": ["x", "none"], "b": ["y", "none"]}
 ROW = {"a": "x", "b": "y", "confidence": "high", "confidence_notes": ""}
@@ -24,10 +25,13 @@ CASES = [
     (rows({k: v for k, v in ROW.items() if k != "b"}), "ok", "missing", 1),
     (rows(ROW | {"c": "z"}), "ok", "extra", 1),
     (rows(ROW, note="z"), "ok", "extra", 1),
-    (rows(ROW | {"b": 1}), "ok", "bad_type", 1),
+    (rows(ROW | {"b": 1}), "bad_type", "bad_type", 0),
+    (rows(ROW, None), "bad_type", "bad_type", 0),
+    (rows(None), "bad_type", "bad_type", 0),
+    (rows(ROW).replace('"a"', '"a": "x", "a"'), "bad_json", "bad_json", 0),
     (rows(ROW | {"b": None}), "ok", "bad_type", 1),
-    (rows(ROW | {"b": ["y"]}), "ok", "bad_type", 1),
-    (rows(ROW, 5), "no_rows", "bad_type", 0),
+    (rows(ROW | {"b": ["y"]}), "bad_type", "bad_type", 0),
+    (rows(ROW, 5), "bad_type", "bad_type", 0),
     (rows(ROW | {"confidence": "sure"}), "ok", "bad_confidence", 1),
     (rows(ROW)[:-4], "bad_json", "bad_json", 0),
     (rows(ROW) + " Done.", "bad_json", "bad_json", 0),
@@ -71,7 +75,36 @@ def test_failed_answers_become_dead_letters(answers):
         assert r.confidence_notes == "Failed after 3 attempts"
 
 
+def test_the_function_and_the_table_path_refuse_the_same_answers(answers):
+    decoded = {r.id: r.status for r in rs.decode_responses(answers, ["id"], "js", VOCAB).collect()}
+    for i, (text, *_) in enumerate(CASES):
+        try:
+            found = bool(text) and bool(answered_rows(text, VOCAB))
+        except Exception:
+            found = False
+        assert found == (decoded[i] == "ok"), text
+
+
+def test_answers_inside_responses(spark):
+    chat = {"choices": [{"message": {"content": "{}"}}]}
+    call = {"type": "tool_use", "name": vo.TOOL_NAME, "input": {"rows": [ROW]}}
+    said, other = {"type": "text", "text": "x"}, {"type": "tool_use", "name": "other", "input": {"rows": 1}}
+    cases = [
+        ("json_schema", chat, {}), ("json_schema", {"choices": []}, None), ("json_schema", {"error": 1}, None),
+        ("tool", {"content": [said, other, call]}, {"rows": [ROW]}), ("tool", {"content": [said, other]}, None),
+        ("tool", {"content": "x"}, None),
+    ]
+    for style, body, want in cases:
+        df = spark.createDataFrame([(json.dumps(body),)], "b string")
+        got = df.select(rs.answer_text(F.col("b"), style).alias("a")).collect()[0].a
+        assert (json.loads(got) if got else None) == want
+    with pytest.raises(ValueError, match="style"):
+        rs.answer_text(F.lit(""), "x")
+
+
 def test_parse_json(spark):
+    twice = spark.createDataFrame([('{"k": 1, "k": 2}',)], "p string")
+    assert not rs.parse_json(twice, "p", "k int", "f").collect()[0].f_ok
     df = spark.createDataFrame([('{"k": 69}',), ('{"k": 69',), ("[]",), (None,)], "p string")
     got = [(r.f.k if r.f else None, r.f_ok) for r in rs.parse_json(df, "p", "k int", "f").collect()]
     assert got == [(69, True), (None, False), (None, False), (None, False)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tagwright.functions.text import unwrapped
+from tagwright.functions.text import samples, unwrapped
 from tagwright.operators import quality as qa
 from tagwright.operators import recover as rc
 from tagwright.operators import rows as rw
@@ -15,7 +15,7 @@ from tagwright.operators import trajectory as tr
 from tagwright.operators import validate as va
 from tagwright.plans.annotation import Annotation
 from tagwright.sources import files
-from tagwright.sources.shared import shared_folder
+from tagwright.sources.shared import removed_after, shared_folder
 from tagwright.streaming.ingest import process_new_files
 from tagwright.vocabulary import FAILED, GROUPS, VOCABULARY, response_fields
 
@@ -46,6 +46,14 @@ def test_first_rows_and_row_at(spark):
     assert rw.row_at(df, "id", 99).isEmpty()
 
 
+def test_many_first_rows_are_cut_from_ranges(spark):
+    df = spark.range(1000).selectExpr("id * 7 % 1000 AS id", "id AS `odd name`").repartition(6)
+    cut = rw.first_rows(df, "id", 333, few=10)
+    assert sorted(r.id for r in cut.collect()) == list(range(333)) and cut.columns == df.columns
+    assert [r.id for r in rw.row_at(df, ["id"], 500, few=10).collect()] == [500]
+    assert rw.row_at(df, "id", 1000, few=10).isEmpty()
+
+
 def test_search_in_any_column(spark):
     df = spark.createDataFrame(
         [("a", 1, None), ("b", 22, [FAILED]), (FAILED + "x", 3, [])], "s string, n int, `odd name` array<string>"
@@ -67,7 +75,22 @@ def test_unwrapping(spark):
         "plain": "plain",
     }
     df = spark.createDataFrame([(t,) for t in cases], "t string")
-    assert {r.t: r.u for r in df.withColumn("u", unwrapped(F.col("t"))).collect()} == cases
+    assert {r.t: r.u for r in df.withColumn("u", unwrapped("t")).collect()} == cases
+
+
+@pytest.mark.parametrize(
+    "lists",
+    [
+        [["a", "b"]], [["a"], ["b"]], [["it's", 'say "x"'], []], [["both ' and \""]], [["tab\tline\nback\\slash\\n"]],
+        [["\xa0é\u200b 😀"]], [[""]], [["]], [["]], [["x" * 50_000]], [["a\\"], ["\\'"]],
+    ],
+)
+def test_printed_samples_are_read_back(spark, lists):
+    text = str(lists)
+    df = spark.createDataFrame([(text,)], "t string").select(unwrapped("t").alias("u"), samples("t").alias("s"))
+    row = df.collect()[0]
+    assert row.s == lists
+    assert row.u == (lists[0][0] if [len(x) for x in lists] == [1] else text)
 
 
 # ---- recovery ---------------------------------------------------------------
@@ -172,6 +195,11 @@ def test_rules(spark):
     ]
 
 
+def test_key_rules_never_sort(spark):
+    plan = qa.check_keys(sample_rows(spark, {"clip_id": "a"}), "clip_id")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+
+
 def test_summary_and_observation(spark):
     df = sample_rows(
         spark,
@@ -236,6 +264,47 @@ def test_intermediate_tables_go_to_the_folder_of_the_cluster(spark):
     assert one.startswith(base + "/x-") and one != two
 
 
+class Session:
+    """What the choice of a folder reads of a session."""
+
+    def __init__(self, master, conf=None, checkpoint=None):
+        self.conf = {"spark.checkpoint.dir": conf} if conf else {}
+        self.sparkContext = self
+        self.master = master
+        self.getCheckpointDir = lambda: checkpoint
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_refused(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(master), "x")
+    assert shared_folder(Session(master, checkpoint="hdfs://a/b"), "x").startswith("hdfs://a/b/x-")
+    assert shared_folder(Session(master, "hdfs://c", "hdfs://a/b"), "x").startswith("hdfs://c/x-")
+
+
+def test_a_single_machine_may_use_a_local_folder():
+    assert os.path.isdir(os.path.dirname(shared_folder(Session("local[2]"), "x")))
+
+
+def test_folders_are_removed_when_the_caller_is_done(spark):
+    df = spark.range(100)
+    with removed_after(spark):
+        kept = shared_folder(spark, "kept")
+        assert rw.first_rows(df, "id", 50, few=10).count() == 50
+        df.write.parquet(kept)
+        assert os.path.isdir(kept.removeprefix("file://"))
+    assert not os.path.isdir(kept.removeprefix("file://"))
+
+
+def test_null_tokens_of_other_readers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,score,name\n1,NA,nan\n2,0.5,null\n3,x,Ann\n")
+    plain = files.read_csv(spark, str(tmp_path), "id int, score double, name string")
+    assert [r.name for r in plain.collect()] == ["nan", "null", "Ann"]
+    read = files.read_csv(spark, str(tmp_path), "id int, score double, name string", null_tokens=files.NULL_TOKENS)
+    assert [tuple(r) for r in read.collect()] == [(1, None, None), (2, 0.5, None), (3, None, "Ann")]
+    assert read.dtypes == [("id", "int"), ("score", "double"), ("name", "string")]
+
+
 # ---- incremental runs -------------------------------------------------------
 
 

@@ -185,6 +185,22 @@ def test_missing_true_points_give_no_error_value(spark):
     assert tr.ade(pred, truth, ["clip_id"], "sample_id").collect()[0].ade is None
 
 
+@pytest.mark.parametrize("steps,want", [([0], None), ([0, 1], 1.0), ([0, 1, 2], None), ([0, 2], None), ([], None)])
+def test_uneven_predictions_have_no_error_value(spark, steps, want):
+    schema = "clip_id string, step int, x double, y double"
+    truth = spark.createDataFrame([("a", 0, 0.0, 0.0), ("a", 1, 0.0, 0.0)], schema)
+    pred = spark.createDataFrame([("a", i, 1.0, 0.0) for i in steps], schema).withColumn("sample_id", F.lit(0))
+    assert [r.ade for r in tr.ade(pred, truth, ["clip_id"], "sample_id").collect()] == [want] * bool(steps)
+
+
+def test_lists_do_not_depend_on_what_counts_as_hot(steps):
+    found = [
+        sorted(tuple(map(str, r)) for r in tr.control_lists(steps, ["clip_id"], hot_rows=hot, list_rows=7).collect())
+        for hot in (10**6, 30, 5)
+    ]
+    assert found[0] == found[1] == found[2]
+
+
 def test_nan_wins_the_minimum_and_the_controls(spark):
     errors = spark.createDataFrame([("a", 1.0), ("a", tr.NAN), ("b", 2.0)], "k string, ade double")
     best = {r.k: r.min_ade for r in tr.min_ade(errors, ["k"]).collect()}
