@@ -114,7 +114,7 @@ def messages_from_turns(
     role: str = "role",
     text: str = "text",
     max_turns: int = MAX_TURNS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``(keys, start, messages)`` with the turns of each conversation in order.
 

@@ -95,7 +95,7 @@ class Ordered:
 
     A key with more than ``hot_rows`` rows is hot. One pre-aggregated count,
     which runs at once, tells whether there are any; mostly there are none, and
-    the rows stay as they are. The rows of hot keys are written in ranges of
+    the rows stay as they are. Who knows that none is hot passes ``None``, and nothing is counted. The rows of hot keys are written in ranges of
     about ``hot_rows`` rows, and each range becomes a slice of its own.
 
     ``over`` is the SQL window of one slice. Every slice but the first of a key
@@ -111,26 +111,22 @@ class Ordered:
         keys: Sequence[str],
         order: Sequence[str],
         context: int = 1,
-        hot_rows: int = HOT_ROWS,
+        hot_rows: int | None = HOT_ROWS,
     ):
         self.group = [*keys, _SLICE]
         # Without hot keys there is one slice, so lists may be grouped as the rows already lie.
         self.list_group = self.group
-        counts = df.groupBy(*keys).agg(F.expr("count(*) AS __n")).filter(f"__n > {hot_rows}")
-        total = counts.agg(F.sum("__n")).first()[0]
-        if total is None:
+        folder = shared_folder(df.sparkSession, "ordered")
+        total = hot_rows and self._count(df, keys, hot_rows, f"{folder}/keys")
+        if not total:
             self.rows = df.selectExpr("*", f"0 AS {_SLICE}", f"false AS {_CONTEXT}")
             self.over = f"OVER (PARTITION BY {_list(self.group)} ORDER BY {_list(order)})"
             self.position = f"CAST(row_number() {self.over} AS BIGINT) - 1"
             return
 
         self.list_group = list(keys)
-        folder = shared_folder(df.sparkSession, "ordered")
-        counts.selectExpr(*[f"{named(k)} AS {named('__hot_' + k)}" for k in keys]).write.parquet(
-            f"{folder}/keys"
-        )
         # At most rows / hot_rows keys; Spark broadcasts them if they are small.
-        hot_keys = df.sparkSession.read.parquet(f"{folder}/keys")
+        hot_keys = df.sparkSession.read.parquet(f"{folder}/keys").drop("__n")
         is_hot = F.expr(_same(keys, "__hot_"))
         cold = df.join(hot_keys, is_hot, "left_anti")
         pieces = -(-total // hot_rows)
@@ -150,6 +146,14 @@ class Ordered:
         start = f"first({_AT}) OVER ({within} ROWS UNBOUNDED PRECEDING)"
         self.position = f"coalesce({start}, 0) + row_number() {self.over} - 1"
 
+    @staticmethod
+    def _count(df: DataFrame, keys: Sequence[str], hot_rows: int, path: str) -> int:
+        """Write the hot keys as ``__hot_…`` with their counts, and return the sum of these."""
+        df.groupBy(*keys).agg(F.expr("count(*) AS __n")).filter(f"__n > {hot_rows}").selectExpr(
+            *[f"{named(k)} AS {named('__hot_' + k)}" for k in keys], "__n"
+        ).write.parquet(path)
+        return df.sparkSession.read.parquet(path).agg(F.sum("__n")).first()[0] or 0
+
     @staticmethod
     def own_rows(df: DataFrame) -> DataFrame:
         return df.filter(f"NOT {_CONTEXT}").drop(_CONTEXT, _AT, _ROW)

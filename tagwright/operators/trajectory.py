@@ -91,7 +91,7 @@ def _kinematics(
     order: str | Sequence[str],
     axes: Sequence[str],
     dt: float,
-    hot_rows: int,
+    hot_rows: int | None,
 ) -> tuple[DataFrame, Ordered]:
     order = [order] if isinstance(order, str) else list(order)
     steps = Ordered(
@@ -132,7 +132,7 @@ def kinematics(
     order: str | Sequence[str] = "step",
     axes: Sequence[str] = ("x", "y", "z"),
     dt: float = STEP_SECONDS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Step, distance, speed, acceleration, throttle and brake per step after the first.
 
@@ -149,7 +149,7 @@ def control_lists(
     order: str | Sequence[str] = "step",
     axes: Sequence[str] = ("x", "y", "z"),
     dt: float = STEP_SECONDS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """``(keys, start, speed_control, brake_control)``, rounded to two decimals.
