@@ -95,10 +95,16 @@ def held_out(doc_id: str = "doc_id") -> str:
     return f"crc32(CAST(coalesce(CAST({doc_id} AS string), '') AS binary)) % {FOLDS} = 0"
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> dict:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    target: str = "quality",
+    dictionary_rows: int = DICTIONARY_ROWS,
+    calibration_rows: int = CALIBRATION_ROWS,
+) -> dict:
     """Dictionaries and probability from labelled rows outside the held-out fold.
 
-    Rows are chosen by hash of their doc_id, up to ``DICTIONARY_ROWS`` and then ``CALIBRATION_ROWS`` per
+    Rows are chosen by hash of their doc_id, up to ``dictionary_rows`` and ``calibration_rows`` per
     label; the shares of the labels among all labelled rows weigh them. Without rows of both labels the score is
     the share of label 1, or a half without any. Labels that are null or have no document are ignored.
     """
@@ -115,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> dict:
     if len(share) < 2:
         return {"prior": prior}
 
-    most = DICTIONARY_ROWS + CALIBRATION_ROWS
+    most = dictionary_rows + calibration_rows
     chosen = [r for y in (0, 1) for r in known.filter(f"y = {y}").orderBy(F.xxhash64("id"), "id").limit(most).collect()]
     seen = {0: 0, 1: 0}
     dealt = []
@@ -123,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> dict:
         # The two uses alternate, so that a few labels serve both.
         k = seen[r.y]
         seen[r.y] += 1
-        train = k % 2 == 0 if k < 2 * DICTIONARY_ROWS else False
+        train = k % 2 == 0 and k < 2 * dictionary_rows
         dealt.append((r.id, r.y, train))
     # At most ``most`` rows per label, whatever the tables.
     ids = docs.sparkSession.createDataFrame(
