@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from tagwright.functions.text import (
     EXACT,
     NO_OUTCOMES,
-    all_exact,
     filled,
     judged,
     judged_tokens,
-    list_form,
     named,
     nearest,
     normal_form_of,
@@ -30,8 +28,7 @@ class Judged:
     """A table whose vocabulary cells have been compared with their vocabularies.
 
     Most cells hold one token. Those are matched by plain CASE expressions, which
-    Spark compiles. A cell with commas whose tokens are all vocabulary values is known by one set difference; only the
-    others go through array functions. Each
+    Spark compiles; only a cell with a comma goes through array functions. Each
     step is a projection of its own, so that later ones reuse its columns
     instead of repeating the work. The methods give SQL text over ``rows``.
     """
@@ -44,36 +41,18 @@ class Judged:
             f: filled(named(c)) if c in df.columns else quoted(NOT_MENTIONED)
             for f, c in source.items()
         }
-        self.rows = (
-            df.selectExpr(
-                "*", *[f"{normal_form_of(cells[f], v)} AS {self._token(f)}" for f, v in vocab.items()]
-            )
-            .selectExpr(
-                "*",
-                *[
-                    f"CASE WHEN NOT {self._many(f)} THEN {nearest(self._token(f), v)} END AS {self._hit(f)}"
-                    for f, v in vocab.items()
-                ],
-                *[
-                    f"CASE WHEN {self._many(f)} THEN {list_form(cells[f])} END AS {self._list(f)}"
-                    for f in vocab
-                ],
-            )
-            .selectExpr(
-                "*",
-                *[
-                    f"coalesce({self._list(f)} IS NOT NULL AND {all_exact(self._list(f), v)}, false) AS {self._ready(f)}"
-                    for f, v in vocab.items()
-                ],
-            )
-            .selectExpr(
-                "*",
-                *[
-                    f"CASE WHEN {self._many(f)} AND NOT {self._ready(f)} "
-                    f"THEN {judged_tokens(cells[f], f, v)} END AS {self._all(f)}"
-                    for f, v in vocab.items()
-                ],
-            )
+        self.rows = df.selectExpr(
+            "*", *[f"{normal_form_of(cells[f], v)} AS {self._token(f)}" for f, v in vocab.items()]
+        ).selectExpr(
+            "*",
+            *[
+                f"CASE WHEN NOT {self._many(f)} THEN {nearest(self._token(f), v)} END AS {self._hit(f)}"
+                for f, v in vocab.items()
+            ],
+            *[
+                f"CASE WHEN {self._many(f)} THEN {judged_tokens(cells[f], f, v)} END AS {self._all(f)}"
+                for f, v in vocab.items()
+            ],
         )
 
     @staticmethod
@@ -88,14 +67,6 @@ class Judged:
     def _all(field: str) -> str:
         return named(f"__all_{field}")
 
-    @staticmethod
-    def _list(field: str) -> str:
-        return named(f"__list_{field}")
-
-    @staticmethod
-    def _ready(field: str) -> str:
-        return named(f"__ready_{field}")
-
     def _many(self, field: str) -> str:
         return f"contains({self._token(field)}, ',')"
 
@@ -106,23 +77,18 @@ class Judged:
         """The cleaned cell: its tokens joined again, repeats and order kept."""
         joined = f"array_join(transform({self._all(field)}, o -> o.value), ',')"
         single = f"coalesce({self._hit(field)}, {self._token(field)})"
-        return (
-            f"CASE WHEN {self._ready(field)} THEN {self._list(field)} "
-            f"WHEN {self._many(field)} THEN {joined} ELSE {single} END"
-        )
+        return f"CASE WHEN {self._many(field)} THEN {joined} ELSE {single} END"
 
     def outcomes(self) -> str:
         """``ARRAY<STRUCT<field, token, outcome, value>>``, one element per token of each field."""
         each = [
-            f"CASE WHEN {self._ready(f)} THEN transform(split({self._list(f)}, ',', -1), t -> {judged(f, 't', 't')}) "
-            f"WHEN {self._many(f)} THEN {self._all(f)} ELSE {self._one(f)} END"
-            for f in self.vocab
+            f"CASE WHEN {self._many(f)} THEN {self._all(f)} ELSE {self._one(f)} END" for f in self.vocab
         ]
         return f"concat({', '.join(each)})"
 
     def warnings(self) -> str:
         """The outcomes that are not exact, in vocabulary order."""
-        exact = {f: f"({self._ready(f)} OR coalesce({self._hit(f)} = {self._token(f)}, false))" for f in self.vocab}
+        exact = {f: f"{self._hit(f)} = {self._token(f)}" for f in self.vocab}
         each = [
             f"CASE WHEN {exact[f]} THEN {NO_OUTCOMES} WHEN {self._many(f)} "
             f"THEN filter({self._all(f)}, o -> o.outcome <> '{EXACT}') ELSE {self._one(f)} END"

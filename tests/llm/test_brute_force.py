@@ -331,6 +331,25 @@ def test_packing(docs, texts):
     assert check_packed(rows, 4096) == least
 
 
+ENCODE, WHOLE = packing.encoder(WORDS), Tokenizer.from_file(WORDS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["A", "b", "É", "e\u0301", "I\u0307", "Σ", "ß", "7", "½", "€", "'s", "'LL", "'", ".", "!!", "**", " ", "\n", "\xa0",
+             "\u2003", "<|endoftext|>", "<|", "|>", "_", "(", ")", "=\u0338", "漢", "Ⅷ", "😀", "hello", "WORLD"]
+        ),
+        max_size=14,
+    )
+)
+def test_remembered_parts_give_the_ids_of_the_whole_text(parts):
+    text = "".join(parts)
+    ids = np.frombuffer(ENCODE([text.encode()])[0], "<u4").tolist()
+    assert ids == [*WHOLE.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_parts_with_gaps_exchange_documents(docs_of):
     rng = random.Random(5)
     docs = docs_of([(i, "the " * rng.randrange(1, 2500), "a") for i in range(400)])
