@@ -69,22 +69,6 @@ def tokens(cell: str) -> str:
     return f"transform(split({cell}, ',', -1), part -> {normal_form('part')})"
 
 
-def list_form(cell: str) -> str:
-    """All tokens of a printable cell in normal form, still joined by commas; other cells give NULL.
-
-    One pass over the cell instead of one per token: in printable ASCII the only whitespace is the space.
-    """
-    spread = f"regexp_replace({cell}, ' *, *', ',')"
-    plain = f"replace(replace(lower(trim({spread})), ' ', '_'), '-', '_')"
-    return f"CASE WHEN NOT {cell} RLIKE '[^ -~]' THEN {plain} END"
-
-
-def all_exact(joined: str, values: Sequence[str]) -> str:
-    """Every token of a ``list_form`` is in the vocabulary."""
-    known = ", ".join(map(quoted, values))
-    return f"size(array_except(split({joined}, ',', -1), array({known}))) = 0"
-
-
 def _exact_or_blank(token: str, values: Sequence[str]) -> str:
     blank = NOT_MENTIONED if NOT_MENTIONED in values else values[0]
     known = ", ".join(map(quoted, values))

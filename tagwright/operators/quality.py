@@ -80,18 +80,20 @@ def check_rows(
 def check_keys(
     df: DataFrame, key: str, groups: dict[str, list[str]] = GROUPS
 ) -> DataFrame:
-    """Rules on all rows of a key, as ``(rule, key, detail)``, in pre-aggregated shuffles.
+    """Rules on all rows of a key, as ``(rule, key, detail)``, in one pre-aggregated shuffle.
 
     No row of the key has a maneuver; rows of the key differ in maneuver or
-    environment. Rows are first counted by key and context, then contexts by key: hash aggregation throughout, and a hot key
-    costs each task one row per context it has.
+    environment. Least and greatest of two hashes of the context instead of a distinct count: hash aggregation, and a hot key
+    costs four numbers per task. Contexts that differ have a hash that differs, but for one chance in 2^128.
     """
-    context = [*groups["maneuver"], *groups["environment"]]
+    context = [x for f in [*groups["maneuver"], *groups["environment"]] for x in (F.coalesce(f, F.lit("")), F.col(f).isNull())]
     acts = reduce(or_, [F.col(f) != NOT_MENTIONED for f in groups["maneuver"]])
-    contexts = df.groupBy(F.col(key).alias("key"), *context).agg(F.count(F.lit(1)).alias("n"))
-    per_key = contexts.groupBy("key").agg(
-        F.coalesce(F.bool_or(acts), F.lit(False)).alias("acts"),
-        (F.count(F.lit(1)) > 1).alias("differs"),
+    hashed = df.select(
+        F.col(key).alias("key"), acts.alias("acts"), F.xxhash64(*context).alias("a"), F.xxhash64(F.lit(1), *context).alias("b")
+    )
+    per_key = hashed.groupBy("key").agg(
+        F.coalesce(F.bool_or("acts"), F.lit(False)).alias("acts"),
+        ((F.min("a") != F.max("a")) | (F.min("b") != F.max("b"))).alias("differs"),
     )
     rules = F.array_compact(
         F.array(
