@@ -342,7 +342,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, steps: int = STEPS, h
     spans = marked.select(
         "doc_id", "xx", F.expr(f"inline(transform(ranges, r -> struct(first + r.a AS s, first + r.b + {length} AS e)))")
     )
-    return spans.groupBy("doc_id", "xx").agg(F.expr("collect_list(struct(s, e))").alias("spans"))
+    # A set: repeated rows of one doc_id and text name the same spans, which are kept once in each task.
+    return spans.groupBy("doc_id", "xx").agg(F.expr("collect_set(struct(s, e))").alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
