@@ -67,18 +67,21 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows that stay, one per distinct text, with all their columns."""
+    """The rows that stay, one per distinct text, with all their columns.
+
+    Rows are shuffled once by doc_id and text identity, repeated ones combined in each task before; the winners meet
+    them there. A group without any doc_id keeps one of its rows.
+    """
     own = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(docs.columns)]
-    rows = docs.select(
-        "doc_id", F.struct(*own).alias("__row"), lower_ascii(text_or_empty()).alias("__text")
-    ).select(
-        "doc_id",
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("__key")
+    rows = docs.select(key, F.struct(*own).alias("__row"), lower_ascii(text_or_empty()).alias("__text")).select(
+        "__key",
         "__row",
         F.sha2("__text", 256).alias("text_sha256"),
         F.xxhash64("__text").alias("__xx"),
         n_bytes(F.col("__text")).alias("__n"),
     )
-    winners = text_groups(docs, salts).select(*_ID, F.col("keep_id").alias("__keep"))
-    kept = spread_join(rows, winners, _ID, "inner").filter("doc_id <=> __keep")
-    one = kept.dropDuplicates(_ID)
-    return one.select(*[F.col(f"__row.__c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    one = rows.groupBy("__key", *_ID).agg(F.first("__row").alias("__row"))
+    winners = text_groups(docs, salts).withColumnRenamed("keep_id", "doc_id").select(key, *_ID)
+    kept = one.join(winners, ["__key", *_ID])
+    return kept.select(*[F.col(f"__row.__c{i}").alias(c) for i, c in enumerate(docs.columns)])
