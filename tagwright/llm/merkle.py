@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.common import as_bytes, stored, text_or_empty
 
-#: Characters after which a line may be cut, at the next sentence end or blank, or at the limit.
+#: Bytes after which a line may be cut, at the next sentence end or at the limit; a shorter rest is a leaf.
 LEAF_LEAST, LEAF_MOST = 64, 256
 #: One leaf in so many ends a section.
 SECTION = 8
 RANGE_BYTES = 8 << 20
 
 _LEAF = re.compile(
-    rb"[^\n]{0,%d}(?:\n|$)|[^\n]{%d,%d}?[.!?|]+(?=\s)|[^\n]{%d}" % (LEAF_LEAST, LEAF_LEAST, LEAF_MOST - 1, LEAF_MOST)
+    rb"[^\n]{0,%d}(?:\n|$)|[^\n]{%d,%d}?[.!?|](?=\s)|[^\n]{%d,%d}(?:\n|$)|[^\n]{%d}"
+    % (LEAF_LEAST, LEAF_LEAST, LEAF_MOST - 1, LEAF_LEAST + 1, LEAF_MOST - 1, LEAF_MOST)
 )
 
 

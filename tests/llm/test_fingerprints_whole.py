@@ -1,0 +1,41 @@
+"""Fingerprints cover every byte of a text."""
+
+import random
+
+import pytest
+
+from tagwright.llm import merkle
+from tagwright.llm.common import table
+
+
+def test_leaves_give_whole_documents_back(spark):
+    for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect():
+        data = (r.text or "").encode()
+        assert b"".join(merkle.leaves(data)) == data
+
+
+@pytest.mark.parametrize("end", [b"", b"\n", b".", b".\n", b"\nmore", b" more of it. And more"])
+def test_leaves_of_lines_without_sentence_ends(end):
+    for n in [*range(60, 261), 320, 321, 511, 512, 513, 700]:
+        for line in (b"x" * n, b"word " * (n // 5) + b"y" * (n % 5)):
+            data = line + end
+            pieces = merkle.leaves(data)
+            assert b"".join(pieces) == data
+            assert max(map(len, pieces)) <= merkle.LEAF_MOST
+
+
+def test_long_runs_of_marks_are_cut():
+    data = b"x" * 70 + b"." * 1000 + b" end"
+    assert b"".join(merkle.leaves(data)) == data
+    assert max(map(len, merkle.leaves(data))) <= merkle.LEAF_MOST
+
+
+def test_edits_at_the_beginning_of_a_line_are_located():
+    rng = random.Random(5)
+    lines = [("%08x" % rng.getrandbits(32) * 26).encode() + b"\n" for _ in range(50)]
+    other = [*lines]
+    other[20] = b"EDIT" + other[20][4:]
+    at = sum(map(len, lines[:20]))
+    a, b = merkle.tree(b"".join(lines)), merkle.tree(b"".join(other))
+    assert merkle.likeness(a, b) < 1
+    assert merkle.changes(a, b) == [(at, at + len(lines[20]))]
