@@ -153,12 +153,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def first_of_groups(docs: DataFrame) -> DataFrame:
+def first_of_groups(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One row of each component, that of the smallest doc_id, with all columns.
 
+    ``groups`` has doc_id and component_id of every row, by default those of ``near_groups``.
     Rows without a doc_id stay, as no component can name them. Repeated rows of that doc_id stay all.
     """
-    groups = stored(near_groups(docs), "near_groups")
+    groups = stored(near_groups(docs) if groups is None else groups, "near_groups")
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     still = groups.filter("doc_id = component_id").select("doc_id").distinct()
     drop = gone.join(still, "doc_id", "left_anti")
