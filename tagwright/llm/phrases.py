@@ -8,12 +8,13 @@ other lengths are made. Candidates are then cut, scored and compared with the lo
 
 from __future__ import annotations
 
+import string
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import lower_ascii, stored, text_or_empty
+from tagwright.llm.common import stored, text_or_empty
 from tagwright.operators.skew import spread_join
 
 LONGEST = 3
@@ -42,11 +43,13 @@ def windows(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     row already, so they are shifted within the row and nothing is shuffled.
     """
     names = _words(longest)
-    marked = F.translate(lower_ascii(text_or_empty()), _ENDS + _BLANK, _END * len(_ENDS) + " ")
+    marked = F.translate(
+        text_or_empty(), string.ascii_uppercase + _ENDS + _BLANK, string.ascii_lowercase + _END * len(_ENDS) + " "
+    )
     tokens = F.array_remove(F.split(F.replace(marked, F.lit(_END), F.lit(f" {_END} ")), " "), "")
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), tokens.alias("t")
-    ).filter("size(t) > 0")
+    )
     shifted = ", ".join(["t", *[f"slice(t, {i}, size(t))" for i in range(2, longest + 1)]])
     raw = rows.selectExpr("lang", f"inline(arrays_zip({shifted}))").toDF("lang", *names).filter(F.col("w1") != _END)
     for before, name in zip(names, names[1:]):
