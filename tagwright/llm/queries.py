@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagwright.llm import audit, exact, merkle, mixing, packing, phrases, pii, quality, sharding, simhash, suffix, tokens
+from tagwright.llm import audit, exact, merkle, mixing, packing, phrases, pii, quality, sharding, simhash, suffix, tokens, toxicity
 from tagwright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,8 @@ SQL["op13_phrases"] = r"""
     SELECT lang, rank, g AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
     FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op11_toxicity(spark, folder):
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))

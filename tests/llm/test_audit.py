@@ -1,0 +1,106 @@
+"""The filter audit against its SQL and against plain Python, and its Shapley weights against their definition."""
+
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import permutations
+from math import factorial
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import difference, spark_rows, sql_rows
+from tagwright.llm import audit
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_equals_its_sql(spark):
+    ours = spark_rows(entry.queries()["op12_filter_audit"](spark, FOLDER))
+    assert difference(ours, sql_rows(FOLDER, entry.oracle_sql()["op12_filter_audit"])) is None
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5])
+def test_weights_are_the_shapley_values(n):
+    """Least squares gives what averaging over all orders gives."""
+    for i, row in enumerate(audit.shapley_weights(n)):
+        expected = [Fraction(0)] * (1 << n)
+        for order in permutations(range(n)):
+            before = sum(1 << k for k in order[: order.index(i)])
+            expected[before | 1 << i] += Fraction(1, factorial(n))
+            expected[before] -= Fraction(1, factorial(n))
+        assert row[1:] == expected[1:]
+
+
+def slow_audit(rows, labels):
+    """rows: (doc_id, text, lang); labels: (doc_id, quality, toxic)."""
+    fails = []
+    for doc_id, text, lang in rows:
+        t = text or ""
+        words = [w for w in re.split(r"[ \t\n\v\f\r]+", t) if w]
+        f = set()
+        if len(words) < 100:
+            f.add("A")
+        if 100 * len(set(words)) < 80 * len(words):
+            f.add("B")
+        if 100 * sum("A" <= c <= "Z" for c in t) > 10 * len(t):
+            f.add("C")
+        if set("#$%&*|") & set(t):
+            f.add("D")
+        if doc_id is not None and any(o is not None and o < doc_id and (x or "") == t for o, x, _ in rows):
+            f.add("E")
+        good = any(d == doc_id and q == 1 for d, q, _ in labels)
+        toxic = any(d == doc_id and x == 1 for d, _, x in labels)
+        fails.append((lang or "", f, good, toxic))
+    out, shapley = {}, Counter()
+    for part in {p for p, *_ in fails}:
+        for order in map("".join, permutations("ABCDE")):
+            for step, letter in enumerate(order):
+                gone = set(order[:step])
+                here = [(f, g, x) for p, f, g, x in fails if p == part and letter in f and not f & gone]
+                out[part, order, step + 1] = [
+                    sum(p == part and not f & (gone | {letter}) for p, f, _, _ in fails),
+                    len(here),
+                    sum(p == part and letter in f and bool(f & gone) for p, f, _, _ in fails),
+                    sum(p == part and f == {letter} for p, f, _, _ in fails),
+                    sum(g for _, g, _ in here),
+                    sum(x for _, _, x in here),
+                ]
+                shapley[part, letter] += len(here)
+    return {k: (*v, shapley[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+def test_equals_brute_force(spark):
+    many = " ".join(f"word{i}" for i in range(120))
+    rows = [
+        (1, many, "en"), (2, many, "en"), (2, many, "en"), (3, many.upper(), "en"), (4, many + " a$b", "de"),
+        (5, "x " * 200, "de"), (6, "x " * 200, None), (7, None, None), (8, "", ""), (9, " \t\n ", "de"), (10, "AB|c", "fr"),
+        (None, many, "en"), (None, many, None), (11, many, "fr"), (12, "ÄÖÜ É " + many, "fr"), (13, many.replace(" ", "\v"), "fr"),
+    ]
+    labels = [(1, 1, 0), (2, 0, 1), (2, 1, None), (3, None, 1), (5, 1, 1), (11, 1, 0), (None, 1, 1), (99, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = defaultdict(list)
+    for r in audit.audit(docs, known).collect():
+        got[r.part, r.filter_order, r.step].append(
+            (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley)
+        )
+    assert {k: [v] for k, v in slow_audit(rows, labels).items()} == got
+
+
+def test_other_filters(spark):
+    docs = spark.createDataFrame([(1, "a b", "en"), (2, "a b", "en"), (3, "c", "en")], "doc_id long, text string, lang string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = audit.audit(docs, none, {"S": "size(words) < 2"}, "E").collect()
+    assert {(r.filter_order, r.step, r.kept, r.removed, r.shapley) for r in rows} == {
+        ("SE", 1, 2, 1, 2), ("SE", 2, 1, 1, 2), ("ES", 1, 2, 1, 2), ("ES", 2, 1, 1, 2),
+    }
+
+
+def test_odd_and_empty_tables(spark, odd):
+    labels = spark.createDataFrame([(1, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = audit.audit(odd, labels).collect()
+    assert len(rows) == 600 and {r.part for r in rows} == {""}
+    assert {r.kept + r.removed for r in rows if r.step == 1} == {odd.count()}
+    assert audit.audit(odd.limit(0), labels).collect() == []
+    assert audit.audit(odd, labels.limit(0)).count() == 600
