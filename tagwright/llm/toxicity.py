@@ -87,7 +87,7 @@ def learnt_terms(
     """Terms that mark toxic rows, the most telling first.
 
     Terms are counted in Spark over the whole texts of at most ``rows`` doc_ids per label. One is kept if its share of toxic rows
-    is too large for chance even among all terms tested, and it is precise at the labels' natural shares.
+    is too large for chance even among all terms tested (those frequent enough to stand out at all), and it is precise at the labels' natural shares.
     Terms that a kept stem covers as precisely, or that are in ``known_words``, add nothing and go.
     """
     share = dict(known.groupBy("y").count().collect())
@@ -123,10 +123,17 @@ def learnt_terms(
         "terms",
     )
     drawn = dict(texts.groupBy("y").count().collect())
-    tested = counts.count()
-    if len(drawn) < 2 or not tested:
+    if len(drawn) < 2:
         return []
     base = drawn[1] / (drawn[0] + drawn[1])
+    # Terms too rare to stand out, were all their rows toxic, are not tested and need not be answered for.
+    many = counts.groupBy(F.expr("least(pos + neg, 64)").alias("n")).count().collect()
+    for least in range(TERM_ROWS, 65):
+        tested = sum(r["count"] for r in many if r.n >= least)
+        if least * -np.log(base) >= np.log(max(tested, 1)):
+            break
+    if not tested:
+        return []
     told = counts.filter(f"pos >= {TERM_ROWS}").selectExpr(
         "term",
         "pos / (pos + neg) AS p",
@@ -151,7 +158,7 @@ def learnt_terms(
             and precise >= 0.95 * r.precise
             for t, precise in kept.items()
         )
-        if not covered and word not in known_words:
+        if not covered and not any(w.startswith(word) for w in known_words):
             kept[r.term] = r.precise
         if len(kept) == most:
             break
