@@ -141,10 +141,21 @@ def _plain(literal: str) -> str:
 
 
 def unwrapped_sql(cell: str) -> str:
-    """``[['text']]`` → ``text`` if there is exactly one text; anything else is left as it is."""
+    """``[['text']]`` → ``text``; anything else is left as it is.
+
+    A text printed with its escapes is read with them. Lists of several texts stay as they are. What is left between the
+    first and the last quote of ``[['`` and ``']]``, the same character, is one text that was wrapped without
+    escapes: it is taken as it stands, quotes, backslashes and line ends included.
+    """
     one = rf"(?s)^\s*+\[\s*+\[\s*+({_TEXT})\s*+\]\s*+\]\s*+$"
     literal = f"regexp_extract({cell}, {quoted(one)}, 1)"
-    return f"CASE WHEN startswith({cell}, '[') AND {cell} RLIKE {quoted(one)} THEN {_plain(literal)} ELSE {cell} END"
+    bare = " OR ".join(
+        f"(startswith({cell}, {quoted('[[' + q)}) AND endswith({cell}, {quoted(q + ']]')}) AND length({cell}) >= 6)" for q in "'\""
+    )
+    return (
+        f"CASE WHEN NOT startswith({cell}, '[') THEN {cell} WHEN {cell} RLIKE {quoted(one)} THEN {_plain(literal)} "
+        f"WHEN ({bare}) AND NOT {cell} RLIKE {quoted(_LISTS)} THEN substring({cell}, 4, length({cell}) - 6) ELSE {cell} END"
+    )
 
 
 def samples_sql(cell: str) -> str:

@@ -1225,7 +1225,8 @@ def _answer_file(spark: SparkSession, docs: DataFrame, style: str, path: str, fa
     if faulty:
         for i, text in enumerate(['{"rows": []}', '{"rows": [null]}', '{"rows": [{"lang": 1}]}', "Sorry, I cannot."]):
             answer = F.when(kind == i + 1, text).otherwise(answer)
-        answer = F.when(kind == 6, F.replace(good, F.lit('"size"'), F.lit('"lang":"en","size"'))).otherwise(answer)
+        if style == "json_schema":  # a tool's input is an object already, so a key cannot be there twice
+            answer = F.when(kind == 6, F.replace(good, F.lit('"size"'), F.lit('"lang":"en","size"'))).otherwise(answer)
     if style == "json_schema":
         message = F.struct(F.struct(answer.alias("content")).alias("message"))
         body = F.to_json(F.struct(F.array(message).alias("choices")))
@@ -1255,19 +1256,16 @@ _SQL_OFFLINE_GOOD = """
     WITH s AS (
         SELECT *, CASE doc_id % 10 WHEN 1 THEN 'no_rows' WHEN 2 THEN 'bad_type' WHEN 3 THEN 'bad_type'
                        WHEN 4 THEN 'bad_json' WHEN 5 THEN 'no_answer' WHEN 6 THEN 'bad_json'
-                       WHEN 7 THEN 'no_answer' ELSE 'ok' END AS status
+                       WHEN 7 THEN 'no_answer' ELSE 'ok' END AS told
         FROM documents),
-    g AS (SELECT doc_id, status, lang, CASE WHEN length(text) > 2000 THEN 'long' ELSE 'short' END AS size,
-                 {_SQL_OFFLINE_GOOD} FROM s),
-    f AS (SELECT doc_id, status, lang, size, confidence, confidence_notes FROM g WHERE status = 'ok'
-          UNION ALL SELECT doc_id, status, 'PARSE_ERROR', 'PARSE_ERROR', 'low', 'Failed after 1 attempts'
+    g AS (SELECT style, doc_id, CASE WHEN style = 'tool' AND doc_id % 10 = 6 THEN 'ok' ELSE told END AS status, lang, CASE WHEN length(text) > 2000 THEN 'long' ELSE 'short' END AS size,
+                 {_SQL_OFFLINE_GOOD} FROM s, (SELECT unnest(['json_schema', 'tool']) AS style)),
+    f AS (SELECT style, doc_id, status, lang, size, confidence, confidence_notes FROM g WHERE status = 'ok'
+          UNION ALL SELECT style, doc_id, status, 'PARSE_ERROR', 'PARSE_ERROR', 'low', 'Failed after 1 attempts'
           FROM g WHERE status <> 'ok')
-    SELECT style, 'first' AS round, f.* FROM f, (SELECT unnest(['json_schema', 'tool']) AS style)
-    WHERE style = 'json_schema' OR doc_id % 10 <> 6
+    SELECT style, 'first' AS round, doc_id, status, lang, size, confidence, confidence_notes FROM f
     UNION ALL
-    SELECT style, 'merged', doc_id, 'ok', lang, size, confidence, confidence_notes
-    FROM g, (SELECT unnest(['json_schema', 'tool']) AS style)
-    WHERE style = 'json_schema' OR doc_id % 10 <> 6
+    SELECT style, 'merged', doc_id, 'ok', lang, size, confidence, confidence_notes FROM g
     """
 )
 def offline_annotation(spark, folder):
@@ -1277,12 +1275,10 @@ def offline_annotation(spark, folder):
     for style in "json_schema", "tool":
         base = shared_folder(spark, "offline_annotation")
         run = OfflineAnnotation(base, "Label it.", "any-model", style, "doc_id", "text", DOCUMENT_VOCABULARY)
-        # A tool's input is an object already, so a key cannot be there twice.
-        asked = docs if style == "json_schema" else docs.filter("doc_id % 10 <> 6")
-        run.requests(asked, "first")
-        first_answers = _answer_file(spark, asked, style, f"{base}/first_answers", True)
-        first = run.table(asked, run.answers(spark, first_answers), "first")
-        again = run.failed_traces(first, asked)
+        run.requests(docs, "first")
+        first_answers = _answer_file(spark, docs, style, f"{base}/first_answers", True)
+        first = run.table(docs, run.answers(spark, first_answers), "first")
+        again = run.failed_traces(first, docs)
         run.requests(again, "second")
         second_answers = _answer_file(spark, again, style, f"{base}/second_answers", False)
         merged = run.merge(first, run.table(again, run.answers(spark, second_answers), "second"))
@@ -1318,7 +1314,7 @@ def ade_uneven(spark, folder):
 
 @query(
     """
-    WITH t AS (SELECT doc_id, doc_id % 6 AS kind, left(replace(replace(text, '''', ''), '"', ''), 40) AS t FROM documents),
+    WITH t AS (SELECT doc_id, doc_id % 6 AS kind, replace(replace(text, '''', ''), '"', '') AS t FROM documents),
     w AS (SELECT *, replace(t, chr(10), '\\n') AS said FROM t)
     SELECT doc_id,
            CASE kind WHEN 0 THEN t WHEN 1 THEN 'it''s ' || t
@@ -1331,7 +1327,7 @@ def ade_uneven(spark, folder):
 )
 def unwrap_samples(spark, folder):
     """One text is unwrapped, escapes undone; lists of several texts stay as they are and are parsed."""
-    text = F.substring(F.replace(F.replace("text", F.lit("'")), F.lit('"')), F.lit(1), F.lit(40))
+    text = F.replace(F.replace("text", F.lit("'")), F.lit('"'))
     said, kind = F.replace(text, F.lit("\n"), F.lit("\\n")), F.pmod(F.col("doc_id"), F.lit(6))
     printed = {
         0: ("[['", said, "']]"),
@@ -1371,19 +1367,27 @@ def _sql_labels(field: str) -> str:
     return f"coalesce(nullif(concat_ws(',', {hits}), ''), 'none') AS {field}"
 
 
-_RULE_FIELDS = list(dict.fromkeys(r[0] for r in an.DRIVING_RULES))
+RULE_FIELDS = list(dict.fromkeys(r[0] for r in an.DRIVING_RULES))
+
+
+def phrased_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents, each with one driving phrase at its end."""
+    phrase = F.expr(f"elt(CAST(doc_id % {len(DRIVING_PHRASES)} AS INT) + 1, {_SQL_PHRASES})")
+    return table(spark, folder, "documents").select("doc_id", F.concat_ws(" ", "text", phrase).alias("text"))
 
 
 @query(
     f"""
-    SELECT doc_id, {", ".join(map(_sql_labels, _RULE_FIELDS))}
+    SELECT doc_id, {", ".join(map(_sql_labels, RULE_FIELDS))}
     FROM (SELECT doc_id, lower(text || ' ' || [{_SQL_PHRASES}][CAST(doc_id % {len(DRIVING_PHRASES)} AS INTEGER) + 1]) AS t
           FROM documents)
     """
 )
 def driving_rule_labels(spark, folder):
     """The built-in rules over whole documents, each with one driving phrase at its end."""
-    phrase = F.expr(f"elt(CAST(doc_id % {len(DRIVING_PHRASES)} AS INT) + 1, {_SQL_PHRASES})")
-    docs = table(spark, folder, "documents").select("doc_id", F.concat_ws(" ", "text", phrase).alias("text"))
-    labelled = an.label_by_rules(docs, "text", an.DRIVING_RULES, lower=True)
-    return labelled.select("doc_id", *[F.array_join(f, ",").alias(f) for f in _RULE_FIELDS])
+    labelled = an.label_by_rules(phrased_documents(spark, folder), "text", an.DRIVING_RULES, lower=True)
+    return labelled.select("doc_id", *[F.array_join(f, ",").alias(f) for f in RULE_FIELDS])
+
+
+# More queries register themselves here; they take helpers from this module.
+from tagwright.plans import catalog_tables  # noqa: E402, F401
