@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm import exact, mixing, packing, quality, similar, simhash
+from tagwright.llm import exact, mixing, packing, quality, simhash
 from tagwright.llm.common import stored, table
 
 
@@ -26,8 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts alike by five words and 0.8, that of the smallest doc_id."""
-    return simhash.first_of_groups(docs, similar.similar_groups(docs))
+    """One document of each component of SimHash fingerprints within 2 bits, that of the smallest doc_id."""
+    return simhash.first_of_groups(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
