@@ -1,15 +1,17 @@
 """SimHash near-dedup: an inverted index over byte positions, with count filtering.
 
-Two 64-bit fingerprints that differ in at most 2 bits agree in at least 6 of their 8 bytes. The
-index therefore lists fingerprints under (byte positions, byte values), tallies for each pair
-the positions where both have the same byte, keeps pairs with at least 6, and verifies the bits.
-A posting of a single byte would hold a 256th of all fingerprints, so postings hold four bytes at
-a time: bytes form four lanes of two, and of the six choices of two lanes at least one
-is untouched by any two differing bits. No pair is missed, whatever the data.
+Two 64-bit fingerprints that differ in at most 2 bits agree in at least 6 of their 8 bytes. A posting of a single byte
+would hold a 256th of all fingerprints, so postings are of four byte positions at a time: the 14 blocks of
+the Steiner system S(3, 4, 8). Any three positions are in exactly one block; so fingerprints that share 6, 7 or 8 bytes
+share 3, 7 or 14 postings, and those that share 5 or fewer share one at most. The tally of shared postings of
+a pair thus tells exactly whether it reaches the guaranteed 6 bytes; pairs that do are verified by their bits.
+Members of a large posting are posted again under 6 positions. No pair is missed, whatever the data.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,11 +25,16 @@ from tagwright.operators.skew import spread_join
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-#: From here on a posting's members meet at one-bit neighbours (33 rows each) instead of in pairs.
+#: Larger postings are not paired but refined.
 PAIRED = 64
 
-_LANES = [0xFFFF << s for s in (0, 16, 32, 48)]
-_MASKS = [a | b for i, a in enumerate(_LANES) for b in _LANES[i + 1 :]]
+_BYTES = [0xFF << 8 * i for i in range(8)]
+#: Four positions are a block if their numbers cancel out under exclusive or.
+_BLOCKS = [b for b in combinations(range(8), 4) if b[0] ^ b[1] ^ b[2] ^ b[3] == 0]
+_SIXES = list(combinations(range(8), 6))
+#: Least number of common blocks of fingerprints with 6 common bytes.
+_COMMON = 3
+
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -73,61 +80,54 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(per_batch(work), f"doc_id {kind}, fp long")
 
 
-def _same_bytes(x: str) -> str:
-    """SQL: in how many byte positions the XOR of two fingerprints is zero."""
-    return " + ".join(f"IF(({x} & {_signed(0xFF << s)}L) = 0, 1, 0)" for s in range(0, 64, 8))
+def _mask(positions: tuple[int, ...]) -> int:
+    return sum(_BYTES[i] for i in positions)
+
+
+def _postings(prints: DataFrame, sets: list[tuple[int, ...]], name: str) -> DataFrame:
+    """``(fp, slot, key, n)``: the bytes of each set of positions, where ``n`` fingerprints, at least two, have the same."""
+    entries = ", ".join(f"struct({i} AS slot, fp & {_signed(_mask(p))}L AS key)" for i, p in enumerate(sets))
+    each = prints.selectExpr("fp", f"inline(array({entries}))")
+    sizes = each.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return stored(spread_join(each, sizes, ["slot", "key"], "inner"), name)
 
 
-def _kept(pairs: DataFrame) -> DataFrame:
-    """Tally the shared bytes of each candidate pair (u, v), keep those with enough, verify."""
-    needed = 8 - MAX_BITS
+def _pairs(members: DataFrame, paired: int) -> DataFrame:
+    """The pairs ``u > v`` of postings with at most ``paired`` members, once for each posting they share."""
+    few = members.filter(f"n <= {paired}").select("slot", "key", "fp")
     return (
-        pairs.withColumn("__x", F.expr("u ^ v"))
-        .filter(f"{_same_bytes('__x')} >= {needed}")
-        .filter(f"bit_count(__x) <= {MAX_BITS}")
-        .select("u", "v")
+        few.withColumnRenamed("fp", "v").join(few.withColumnRenamed("fp", "u"), ["slot", "key"]).filter("v < u").select("u", "v")
     )
 
 
 def links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
     """Edges (u, v) between distinct fingerprints ``fp`` that connect all within 2 bits.
 
-    A posting with up to ``paired`` members emits its pairs, which are few. The members
-    of a larger one meet instead at every value within one bit of the rest of their bytes: two
-    share such a value exactly if they differ in at most 2 bits, and each links to the least
-    fingerprint there. That gives 33 rows per member, however large the posting, and the same
-    components.
+    A posting with up to ``paired`` members emits its pairs; a pair is kept if its tally of postings reaches that of 6
+    common bytes. Members of larger postings, where tallies would be incomplete, are posted again under each 6 positions; a pair
+    of such a posting has 6 common bytes. Where even those are large, members differ in 16 bits only and meet
+    at every value within one bit of theirs: two share such a value exactly if they differ in at most 2 bits, at
+    most 17 share one, and each links to the least there.
     """
-    slots = F.explode(
-        F.expr(
-            "array("
-            + ", ".join(f"struct({i} AS slot, fp & {_signed(m)}L AS key)" for i, m in enumerate(_MASKS))
-            + ")"
-        )
-    )
-    postings = prints.select("fp", slots.alias("p")).select("fp", "p.slot", "p.key")
-    sizes = postings.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(spread_join(postings, sizes, ["slot", "key"], "inner"), "postings")
+    blocks = _postings(prints, _BLOCKS, "postings")
+    tallied = _pairs(blocks, paired).groupBy("u", "v").agg(F.count(F.lit(1)).alias("common")).filter(f"common >= {_COMMON}")
+    pairs = tallied.select("u", "v")
 
-    few = members.filter(f"n <= {paired}").select("slot", "key", "fp")
-    pairs = (
-        few.withColumnRenamed("fp", "v")
-        .join(few.withColumnRenamed("fp", "u"), ["slot", "key"])
-        .filter("v < u")
-        .select("u", "v")
-    )
+    crowded = blocks.filter(f"n > {paired}").select("fp").distinct()
+    sixes = _postings(crowded, _SIXES, "refined")
+    pairs = pairs.union(_pairs(sixes, paired).distinct())
 
-    rest = "CASE slot " + " ".join(f"WHEN {i} THEN {_signed(~m & (1 << 64) - 1)}L" for i, m in enumerate(_MASKS)) + " END"
+    rest = "CASE slot " + " ".join(f"WHEN {i} THEN {_signed(~_mask(p) & (1 << 64) - 1)}L" for i, p in enumerate(_SIXES)) + " END"
     flips = F.expr("array_append(transform(sequence(0, 63), i -> shiftleft(1L, i)), 0L)")
     meets = (
-        members.filter(f"n > {paired}")
-        .select("slot", "key", "fp", F.expr(rest).alias("__rest"), F.explode(flips).alias("__flip"))
+        sixes.filter(f"n > {paired}")
+        .select("slot", "fp", F.expr(rest).alias("__rest"), F.explode(flips).alias("__flip"))
         .filter("(__flip & __rest) = __flip")
         .select("slot", "fp", F.expr("fp ^ __flip").alias("at"))
     )
     least = meets.groupBy("slot", "at").agg(F.min("fp").alias("v"))
     stars = meets.join(least, ["slot", "at"]).filter("fp <> v").select(F.col("fp").alias("u"), "v")
-    return _kept(pairs.union(stars)).distinct()
+    return pairs.union(stars).filter(F.expr(f"bit_count(u ^ v) <= {MAX_BITS}")).distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
