@@ -61,19 +61,47 @@ def texts():
     return [*rows, (None, "en"), ("", "fr"), (" \t.\n", None), ("one", "fr"), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize("how", [{}, {"least": 2, "held": 80, "top": 7}, {"longest": 2, "least": 3}, {"longest": 4, "least": 4, "top": 50}])
+@pytest.mark.parametrize("how", [{}, {"least": 2, "held": 80, "top": 7}, {"longest": 2, "least": 3}, {"longest": 4, "least": 4, "top": 50}, {"tail_most": 2}, {"tail_most": 1, "longest": 2}])
 def test_equals_brute_force(spark, texts, how):
     docs = spark.createDataFrame(texts, "text string, lang string").repartition(6)
     given = {"held_percent" if k == "held" else k: v for k, v in how.items()}
     ours = sorted(map(tuple, phrases.collocations(docs, **given).collect()))
-    assert ours == slow_phrases(texts, **how) and ours
+    assert ours == slow_phrases(texts, **{k: v for k, v in how.items() if k != "tail_most"}) and ours
 
 
 def test_windows_are_padded_and_stay_in_their_piece(spark):
     docs = spark.createDataFrame([("A b. c\td e", None)], "text string, lang string")
-    assert sorted(map(tuple, phrases.windows(docs).collect())) == [
-        ("und", "a", "b", ""), ("und", "b", "", ""), ("und", "c", "d", "e"), ("und", "d", "e", ""), ("und", "e", "", ""),
+    assert sorted(map(tuple, phrases.windows(docs, least=1).collect())) == [
+        ("und", "a", "b", ".", 1), ("und", "b", ".", ".", 1), ("und", "c", "d", "e", 1), ("und", "d", "e", ".", 1),
+        ("und", "e", ".", ".", 1),
     ]
+    # Rare words are counted together, and no sum over windows changes.
+    assert sum(r.f for r in phrases.windows(docs).collect()) == 5
+
+
+@pytest.mark.parametrize("how", [{}, {"tail_most": 1}, {"longest": 4}])
+def test_pieces_of_a_long_text_join(spark, texts, monkeypatch, how):
+    """Counting a few positions at a time, and flushing every few texts, changes nothing."""
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(2)
+    plain = sorted(map(tuple, phrases.collocations(docs, **how).collect()))
+    counting = phrases.Counting(how.get("longest", 3), 4, how.get("tail_most", 1024))
+    text = " ".join(t or "" for t, _ in texts).encode()
+
+    def total(blobs):
+        out, places = Counter(), {}
+        for bucket, blob in blobs:
+            for line in blob.split(b"\n"):
+                window, _, n = line.partition(b"\t")
+                out[window] += int(n or 1)
+                if "tail_most" not in how:
+                    assert places.setdefault(window.rpartition(b" ")[0], bucket) == bucket
+        return +out
+
+    whole = total(counting.blobs([text]))
+    monkeypatch.setattr(phrases, "_POSITIONS", 7)
+    assert total(counting.blobs([text])) == whole
+    monkeypatch.setattr(phrases, "FLUSH_BYTES", 300)
+    assert sorted(map(tuple, phrases.collocations(docs, **how).collect())) == plain
 
 
 def test_large_counts_are_exact(spark):
