@@ -124,6 +124,24 @@ def with_retries(
     return [], attempts, error
 
 
+def annotation_results(vocab: Mapping[str, Sequence[str]]) -> T.StructType:
+    """The columns of an annotated row beside its keys."""
+    return T.StructType(
+        [
+            *[T.StructField(f, T.StringType()) for f in response_fields(vocab)],
+            T.StructField("attempts", T.IntegerType()),
+            T.StructField("status", T.StringType()),
+            T.StructField("error", T.StringType()),
+        ]
+    )
+
+
+def annotation_values(found: Mapping, vocab: Mapping[str, Sequence[str]]) -> list[str | None]:
+    """The fields of one answered row as text, confidence and notes last; empty fields are null."""
+    values = [found.get(f) or None for f in vocab] + [found.get(CONFIDENCE), found.get(NOTES)]
+    return [None if v is None else str(v) for v in values]
+
+
 def _with_results(
     batch: pa.RecordBatch, keys: Sequence[str], picks: list[int], results: T.StructType, rows: list
 ) -> pa.RecordBatch:
@@ -156,6 +174,7 @@ def annotate(
     sleep: Callable[[float], None] = time.sleep,
     concurrency: int = 1,
     client: Callable[[], Callable[[dict], Mapping | str]] | None = None,
+    calls: int | None = None,
 ) -> DataFrame:
     """Ask ``answer`` for every row: ``(keys, fields…, attempts, status, error)``.
 
@@ -166,24 +185,17 @@ def annotate(
     returns rows in their order. A row that fails ``attempts`` times
     becomes one dead-letter row, so the batch goes on.
 
+    ``calls`` is a true bound on open calls, instead of ``partitions``: a barrier stage of ``calls`` / ``concurrency`` tasks, of
+    which Spark starts all or none, and never a second copy of one, so that the bound holds whatever else runs. It needs
+    as many free cores, and a failure repeats the stage as a whole.
+
     A lost executor or a second use of the result calls again: write the result
     to a table before using it, and make ``answer`` safe to repeat per key.
     Fields are not validated here; see ``validate_rows``.
     """
     if (answer is None) == (client is None):
         raise ValueError("give either answer or client")
-    fields = response_fields(vocab)
-    results = T.StructType(
-        [
-            *[T.StructField(f, T.StringType()) for f in fields],
-            T.StructField("attempts", T.IntegerType()),
-            T.StructField("status", T.StringType()),
-            T.StructField("error", T.StringType()),
-        ]
-    )
-
-    def text(value) -> str | None:
-        return None if value is None else str(value)
+    results = annotation_results(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = client() if client else answer
@@ -199,15 +211,16 @@ def annotate(
                     state = [used, "ok" if rows else "failed", error]
                     for found in rows or [{}]:
                         picks.append(i)
-                        values = [found.get(f) or None for f in vocab]
-                        values += [found.get(CONFIDENCE), found.get(NOTES)]
-                        out.append([*map(text, values), *state])
+                        out.append([*annotation_values(found, vocab), *state])
                 yield _with_results(batch, keys, picks, results, out)
 
+    if calls is not None:
+        if partitions is not None or calls % concurrency:
+            raise ValueError("give calls, a multiple of concurrency, or partitions")
+        partitions = calls // concurrency
     dealt = df if partitions is None else df.repartition(partitions)
-    return mark_failed(
-        dealt.mapInArrow(run, _schema(df, keys, results)), F.col("status") == "failed", attempts, vocab
-    )
+    told = dealt.mapInArrow(run, _schema(df, keys, results), barrier=calls is not None)
+    return mark_failed(told, F.col("status") == "failed", attempts, vocab)
 
 
 def predict(

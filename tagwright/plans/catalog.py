@@ -1390,4 +1390,4 @@ def driving_rule_labels(spark, folder):
 
 
 # More queries register themselves here; they take helpers from this module.
-from tagwright.plans import catalog_tables  # noqa: E402, F401
+from tagwright.plans import catalog_streams, catalog_tables  # noqa: E402, F401
