@@ -397,7 +397,7 @@ def long_view(spark, folder):
 # ---- counts and rules -------------------------------------------------------
 
 
-def _rated_labels(spark: SparkSession, folder: str) -> DataFrame:
+def rated_labels(spark: SparkSession, folder: str) -> DataFrame:
     good, toxic = F.col("quality") == 1, F.col("toxic") == 1
     level = F.when(good & ~toxic, "high").when(good, "low").when(toxic, "unsure").otherwise("medium")
     return _checked_labels(spark, folder).select(level.alias("confidence"), "state")
@@ -416,14 +416,14 @@ def _rated_labels(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def confidence_summary(spark, folder):
-    return qa.summary(_rated_labels(spark, folder), marker="state")
+    return qa.summary(rated_labels(spark, folder), marker="state")
 
 
 @query(SQL["confidence_summary"])
 def observed_summary(spark, folder):
     """The same counts, taken while the rows are written elsewhere."""
     seen = Observation("summary")
-    rows = qa.observed(_rated_labels(spark, folder), seen, marker="state")
+    rows = qa.observed(rated_labels(spark, folder), seen, marker="state")
     rows.write.parquet(shared_folder(spark, "observed_summary"))
     return spark.createDataFrame([seen.get])
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagwright.plans.catalog import DOCUMENT_VOCABULARY, SQL, query, table
+from tagwright.operators import quality as qa
+from tagwright.plans.catalog import DOCUMENT_VOCABULARY, SQL, query, rated_labels, table
+from tagwright.sources import parts as pt
 from tagwright.sources.shared import shared_folder
+from tagwright.streaming import arrivals as ar
+from tagwright.streaming import counts as ct
 from tagwright.streaming import retries as rt
 
 
@@ -50,3 +54,51 @@ def stream_annotate(spark, folder):
         pause=lambda used: 0.2 * used, max_files=1, every="0 seconds",
     )
     return spark.read.parquet(f"{base}/answers").drop("error")
+
+
+@query(SQL["merge_repaired"])
+def merge_in_parts(spark, folder):
+    """``merge_repaired`` on a table in parts; repaired in two rounds, and the second round twice."""
+    path = f"{shared_folder(spark, 'merge_in_parts')}/table"
+    labels = table(spark, folder, "labels")
+    pt.write_parts(labels, path, "doc_id", 64)
+    fixed = labels.filter("toxic = 1").select("doc_id", (F.col("quality") + 10).alias("quality"), F.lit(0).alias("toxic"))
+    for some in ("doc_id % 2 = 0", "doc_id % 2 = 1", "doc_id % 2 = 1"):
+        pt.merge_parts(spark, path, fixed.filter(some), "doc_id", 64)
+    return pt.read_parts(spark, path)
+
+
+@query(SQL["confidence_summary"])
+def growing_summary(spark, folder):
+    """``confidence_summary`` of a table that comes in four files, counted in two runs; no file is read twice."""
+    base = shared_folder(spark, "growing_summary")
+    rated = rated_labels(spark, folder)
+    for run in range(2):
+        for part in (2 * run, 2 * run + 1):
+            rated.filter(f"pmod(xxhash64(*), 4) = {part}").coalesce(1).write.mode("append").parquet(f"{base}/input")
+        ct.count_new_files(
+            spark, f"{base}/input", rated.schema, f"{base}/counts", f"{base}/progress", qa.summary_columns("state"), max_files=1
+        )
+    return ct.totals(spark, f"{base}/counts")
+
+
+@query(SQL["missing_outputs"])
+def arriving_outputs(spark, folder):
+    """``missing_outputs`` over three files of documents and of labels; two last files of each carry only later times."""
+    base = shared_folder(spark, "arriving_outputs")
+    when = "timestamp_seconds(86400 + doc_id * 60{}) AS at"
+    docs = table(spark, folder, "documents").selectExpr("doc_id", "lang", "n_chars", when.format(""))
+    labels = table(spark, folder, "labels").selectExpr("doc_id", when.format(" + 20"))
+    end = docs.agg(F.max("doc_id")).first()[0] + 1
+    for part in range(5):
+        bounds = f"doc_id >= {end} * {part} div 3 AND doc_id < {end} * ({part} + 1) div 3"
+        for df, name in ((docs, "docs"), (labels, "labels")):
+            some = df.filter(bounds) if part < 3 else df.limit(1).selectExpr(
+                *["-1L AS doc_id" if c == "doc_id" else f"timestamp_seconds({end} * 60 + 86400 * {part}) AS at" if c == "at" else c for c in df.columns]
+            )
+            some.coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+        ar.missing_new_files(
+            spark, f"{base}/docs", docs.schema, f"{base}/labels", labels.schema, f"{base}/missing", f"{base}/progress",
+            "doc_id", "at", "30 seconds",
+        )
+    return spark.read.parquet(f"{base}/missing").filter("doc_id >= 0").drop("at")
