@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +29,16 @@ from tagwright.llm.common import as_bytes, text_or_empty
 KINDS = ("email", "ip", "card", "phone")
 #: Rows that the model is fitted on at most, chosen by hash; bounds what the driver holds.
 SAMPLE_ROWS = 4000
-SAMPLE_CHARS = 20_000
+#: Candidates that are learnt from one text at most, chosen by hash from anywhere in it.
+SAMPLE_CANDIDATES = 20
 #: A threshold is the least score at which at least this share of the confirmed sample is precise.
 PRECISION = 0.995
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_NEAR_AT = re.compile(r"[A-Za-z0-9._%+@-]*@[A-Za-z0-9._%+@-]*")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+# The base rules, written so that time grows with the text. Runs are taken whole and never given back, which changes
+# no match, as no run can end with what has to follow it; and a run that leads to no match is not tried from its middle.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -72,7 +76,7 @@ def _valid(kind: str, s: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split("."))
+        return all(len(p) <= 3 and int(p or 0) <= 255 for p in (p.lstrip("0") for p in s.split(".")))
     digits = _digits(s)
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
@@ -82,16 +86,16 @@ def _valid(kind: str, s: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The base matches of each kind, leftmost and without overlap; failing ones are dropped."""
     out = []
-    if "@" in text:
-        # A match lies inside one longest run of its characters, so runs without the sign are skipped.
-        begin = 0
-        while (at := text.find("@", begin)) >= 0:
-            left = at
-            while left > begin and (text[left - 1] in _MAIL):
-                left -= 1
-            run = _NEAR_AT.match(text, left)
-            out += [("email", m.start(), m.end()) for m in _EMAIL.finditer(text, left, run.end())]
-            begin = run.end()
+    # The name of an address is the run before its sign, which cannot hold a sign itself nor reach into the match before.
+    begin = 0
+    while (at := text.find("@", begin)) >= 0:
+        left = at
+        while left > begin and text[left - 1] in _MAIL:
+            left -= 1
+        domain = _DOMAIN.match(text, at + 1) if left < at else None
+        begin = domain.end() if domain else at + 1
+        if domain:
+            out.append(("email", left, begin))
     if _DIGIT.search(text):
         for kind, pattern in (("ip", _IP), ("card", _CARD), ("phone", _PHONE)):
             if kind == "phone" and "+" not in text:
@@ -100,7 +104,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-_MAIL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+_MAIL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+class Spans:
+    """Spans of each kind without overlap, in order: one step to tell whether another overlaps one of them."""
+
+    def __init__(self, spans: list[tuple[str, int, int]] = ()):
+        self.by = {k: [] for k in KINDS}
+        for span in spans:
+            self.add(span)
+
+    def add(self, span: tuple[str, int, int]) -> None:
+        insort(self.by[span[0]], span[1:])
+
+    def overlap(self, kind: str, start: int, end: int) -> bool:
+        own = self.by[kind]
+        at = bisect_left(own, (end, 0))
+        return at > 0 and own[at - 1][1] > start
+
+    def inside(self, kind: str, start: int, end: int) -> bool:
+        """Whether the span lies within one of the kind."""
+        own = self.by[kind]
+        at = bisect_left(own, (start + 1, 0))
+        return at > 0 and own[at - 1][1] >= end
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
@@ -229,21 +256,23 @@ def _rewrites(kind: str, s: str) -> list[str]:
     return [s.lstrip("+"), "00" + s.lstrip("+"), s.lstrip("+").replace(" ", "-"), s.lstrip("+").replace("-", " ").replace(" ", ".")]
 
 
-def lessons(text: str) -> tuple[list[list[float]], list[float]]:
+def lessons(text: str, most: int = SAMPLE_CANDIDATES) -> tuple[list[list[float]], list[float]]:
     """Features and labels of the candidates that the base rules confirm (1) or refute (0), as they are and rewritten.
 
     Rewriting both keeps the form from telling them apart. Candidates that are neither teach nothing: they
-    are what the model is asked about. Nor does a phone number that could also be a card.
+    are what the model is asked about. Nor does a phone number that could also be a card. Of more than ``most`` candidates, those
+    whose surroundings have the least hashes teach, wherever in the text they are.
     """
-    base, x, y = base_spans(text), [], []
+    base, told, x, y = Spans(base_spans(text)), [], [], []
     for kind, start, end in candidates(text):
+        if base.overlap(kind, start, end):
+            told.append((1.0, kind, start, end))
+        elif _refuted(kind, text[start:end]) or any(base.inside(k, start, end) for k in ("email", "ip")):
+            told.append((0.0, kind, start, end))
+    if len(told) > most:
+        told.sort(key=lambda c: (zlib.crc32(text[max(0, c[2] - 40) : c[3] + 40].encode()), c[2], c[1]))
+    for label, kind, start, end in told[:most]:
         s = text[start:end]
-        if any(k == kind and b <= end - 1 and e - 1 >= start for k, b, e in base):
-            label = 1.0
-        elif _refuted(kind, s) or any(k in ("email", "ip") and b <= start and e >= end for k, b, e in base):
-            label = 0.0
-        else:
-            continue
         x.append(features(text, kind, start, end))
         y.append(label)
         before, after = text[max(0, start - 80) : start], text[end : end + 80]
@@ -258,27 +287,36 @@ def lessons(text: str) -> tuple[list[list[float]], list[float]]:
     return x, y
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_CANDIDATES) -> dict:
     """Trees and thresholds from about ``rows`` distinct texts that hold candidates, chosen by hash, and never from over twice as many.
 
-    A fifth of them sets the thresholds: as low as they may be for ``PRECISION`` of what they accept to be confirmed, and
-    0.5 at least. A kind without confirmed candidates accepts none.
+    Whole texts are read, in tasks; ``per_text`` candidates of each text at most and their rewritten forms are learnt, and the
+    driver gets their features only. A fifth of the texts sets the thresholds: as low as they may be for
+    ``PRECISION`` of what they accept to be confirmed, and 0.5 at least. A kind without confirmed candidates accepts none.
     """
-    text = F.substring(text_or_empty(), 1, SAMPLE_CHARS)  # of the sample that is learnt from, not of what is searched
-    found = docs.select(text.alias("text")).filter("text RLIKE '[0-9@]'").withColumn("h", F.xxhash64("text"))
+    found = docs.select(text_or_empty().alias("text")).filter("text RLIKE '[0-9@]'").withColumn("h", F.xxhash64("text"))
     kinds = found.agg(F.approx_count_distinct("h")).first()[0]
     # A share of the hashes: tasks send what is in the sample, not candidates for it. Copies count once.
     share = min(1.0, rows / max(1, kinds))
     chosen = found.filter(F.pmod("h", F.lit(1_000_003)) < int(share * 1_000_003) + (share == 1.0))
-    sample = sorted(
-        (r.text, r.h) for r in chosen.groupBy("h").agg(F.first("text").alias("text")).limit(2 * rows).collect()
-    )
-    x, y, held = [], [], []
-    for t, h in sample:
-        rows_x, rows_y = lessons(t)
-        x += rows_x
-        y += rows_y
-        held += [h % 5 == 0] * len(rows_x)
+    sample = chosen.groupBy("h").agg(F.first("text").alias("text")).orderBy("h").limit(2 * rows)
+
+    def learn(batches):
+        for batch in batches:
+            hashes, features_, labels = [], [], []
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x, y = lessons(text, per_text)
+                hashes += [h] * len(x)
+                features_ += x
+                labels += y
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes, pa.int64()), pa.array(features_, pa.list_(pa.float64())), pa.array(labels, pa.float64())],
+                ["h", "x", "y"],
+            )
+
+    got = sorted((r.h, list(r.x), r.y) for r in sample.mapInArrow(learn, "h long, x array<double>, y double").collect())
+    x, y = [r[1] for r in got], [r[2] for r in got]
+    held = [r[0] % 5 == 0 for r in got]
     if not x:
         return {"trees": [], "least": {k: 2.0 for k in KINDS}}
     x, y, held = np.array(x, float), np.array(y), np.array(held)
@@ -304,14 +342,14 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict:
 def found_spans(text: str, model: dict) -> tuple[list, list]:
     """Base spans, and all spans: the base ones and what the model adds, by start and kind."""
     base = base_spans(text)
-    more = [
-        c for c in candidates(text) if not any(k == c[0] and s < c[2] and e > c[1] for k, s, e in base)
-    ]
+    known, taken = Spans(base), Spans()
+    more = [c for c in candidates(text) if not known.overlap(*c)]
     added: list[tuple[str, int, int]] = []
     if more and model["trees"]:
         scores = score(model["trees"], np.array([features(text, *c) for c in more], float))
         for c, p in sorted(zip(more, scores), key=lambda x: (-x[1], x[0][1], x[0][2])):
-            if p >= model["least"][c[0]] and not any(k == c[0] and s < c[2] and e > c[1] for k, s, e in added):
+            if p >= model["least"][c[0]] and not taken.overlap(*c):
+                taken.add(c)
                 added.append(c)
     return base, sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -334,7 +372,7 @@ def find(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """Per row: ``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``, ``spans``.
 
     Counts and hash are of the base spans, ``spans`` has all. Positions are code points, the end is
-    exclusive. Null and empty texts have no spans. Rows stand alone: repeated rows and
+    exclusive. Null and empty texts have no spans; time grows with the length of a text, also if it is one run. Rows stand alone: repeated rows and
     doc_ids give repeated results, other columns are ignored, an empty table gives no rows.
     """
     model = model or fit(docs)
