@@ -551,6 +551,13 @@ def response_rows(spark, folder):
     """
 )
 def response_conformance(spark, folder):
+    vocab = {"lang": ["en", "de", "fr", "es", "none"]}
+    return rs.check_responses(planted_answers(spark, folder), ["doc_id"], "answer", vocab)
+
+
+def planted_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """An answer per document, with a fault of every kind for one source each."""
+
     def answer(row: str, top: str = "") -> Column:
         before, after = f'{{"rows": [{row}]{top}}}'.split("LANG")
         return F.concat(F.lit(before), F.col("lang"), F.lit(after))
@@ -573,9 +580,7 @@ def response_conformance(spark, folder):
     text = answer(row())
     for source, fault in faults.items():
         text = F.when(F.col("source") == source, fault).otherwise(text)
-    answers = table(spark, folder, "documents").select("doc_id", text.alias("answer"))
-    vocab = {"lang": ["en", "de", "fr", "es", "none"]}
-    return rs.check_responses(answers, ["doc_id"], "answer", vocab)
+    return table(spark, folder, "documents").select("doc_id", text.alias("answer"))
 
 
 # ---- prompts and requests ---------------------------------------------------
@@ -1096,16 +1101,16 @@ def _event_series(spark: SparkSession, folder: str, dt: float, **how) -> DataFra
     """
 )
 def step_speed(spark, folder):
-    return _steps(_event_series(spark, folder, tr.STEP_SECONDS))
+    return event_steps(_event_series(spark, folder, tr.STEP_SECONDS))
 
 
 @query(SQL["step_speed"])
 def step_speed_cut(spark, folder):
     """The same, with users of more than 75 events cut into ranges."""
-    return _steps(_event_series(spark, folder, tr.STEP_SECONDS, hot_rows=75))
+    return event_steps(_event_series(spark, folder, tr.STEP_SECONDS, hot_rows=75))
 
 
-def _steps(series: DataFrame) -> DataFrame:
+def event_steps(series: DataFrame) -> DataFrame:
     return series.select(
         "user_id",
         "event_id",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagwright.operators import quality as qa
-from tagwright.plans.catalog import DOCUMENT_VOCABULARY, SQL, query, rated_labels, table
+from tagwright.plans.catalog import DOCUMENT_VOCABULARY, SQL, event_steps, query, rated_labels, table
 from tagwright.sources import parts as pt
 from tagwright.sources.shared import shared_folder
 from tagwright.streaming import arrivals as ar
 from tagwright.streaming import counts as ct
 from tagwright.streaming import retries as rt
+from tagwright.streaming import series as se
 
 
 def _in_files(df, base: str, n: int) -> str:
@@ -102,3 +103,19 @@ def arriving_outputs(spark, folder):
             "doc_id", "at", "30 seconds",
         )
     return spark.read.parquet(f"{base}/missing").filter("doc_id >= 0").drop("at")
+
+
+@query(SQL["step_speed"])
+def growing_series(spark, folder):
+    """``step_speed`` of events that come in three files, in two runs; each batch reads only new events and two steps a user."""
+    base = shared_folder(spark, "growing_series")
+    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "value")
+    first, third = (events.agg(F.expr(f"percentile_approx(ts, {q})")).first()[0] for q in (0.3, 0.7))
+    for i, some in enumerate((F.col("ts") < first, (F.col("ts") >= first) & (F.col("ts") < third), F.col("ts") >= third)):
+        events.filter(some).coalesce(1).write.mode("append").parquet(f"{base}/input")
+        if i:
+            se.add_new_files(
+                spark, f"{base}/input", events.schema, f"{base}/steps", f"{base}/progress", ["user_id"], ["ts", "event_id"], ["value"],
+                max_files=1,
+            )
+    return event_steps(se.series(spark, f"{base}/steps"))

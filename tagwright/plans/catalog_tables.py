@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tagwright.operators import annotate as an
 from tagwright.operators import matching as ma
 from tagwright.operators import rules as ru
-from tagwright.plans.catalog import DRIVING_PHRASES, PRIORITIES, RULE_FIELDS, SQL, phrased_documents, query, table
-from tagwright.vocabulary import vocabulary_table
+from tagwright.operators import schemas as sc
+from tagwright.plans.catalog import PRIORITIES, RULE_FIELDS, SQL, phrased_documents, planted_answers, query, table
+from tagwright.vocabulary import response_json_schema, vocabulary_table
 
 
 @query(SQL["vocab_clean"])
@@ -92,3 +95,93 @@ def word_rule_table(spark, folder):
         F.col("word")[0].alias("first_word"),
         F.element_at("word", -1).alias("last_word"),
     )
+
+
+@query(SQL["response_conformance"])
+def schema_conformance(spark, folder):
+    """``response_conformance`` by the compiled schema that the service is given: the first fault in its order."""
+    schema = json.loads(response_json_schema({"lang": ["en", "de", "fr", "es", "none"]}))
+    judged = sc.check_schema(planted_answers(spark, folder), "answer", schema)
+
+    def any_fault(test: str):
+        return F.expr(f"exists(faults, f -> {test})")
+
+    row, value = "f.path RLIKE '^[$].rows.[0-9]+.$'", "f.path RLIKE '^[$].rows.[0-9]+.[.]'"
+    status = (
+        F.when(any_fault("f.rule = 'not JSON' OR f.path = '$' AND f.rule = 'type'"), "bad_json")
+        .when(any_fault(f"f.rule = 'additional' AND NOT {value}"), "extra")
+        .when(any_fault("f.path = '$.rows'"), "no_rows")
+        .when(any_fault(f"{row} AND f.rule = 'type'"), "bad_type")
+        .when(any_fault("f.rule = 'required'"), "missing")
+        .when(any_fault("f.rule = 'additional'"), "extra")
+        .when(any_fault("f.rule = 'type'"), "bad_type")
+        .when(any_fault("f.rule = 'enum'"), "bad_confidence")
+        .otherwise("ok")
+    )
+    return judged.select("doc_id", status.alias("status"))
+
+
+NESTED = {
+    "type": "object",
+    "required": ["doc", "labels"],
+    "additionalProperties": False,
+    "properties": {
+        "doc": {"$ref": "#/$defs/doc"},
+        "labels": {
+            "type": "array",
+            "minItems": 1,
+            "items": {
+                "type": "object",
+                "required": ["quality"],
+                "properties": {"quality": {"enum": [0, 1]}, "toxic": {"const": 0}},
+            },
+        },
+    },
+    "$defs": {
+        "doc": {
+            "type": "object",
+            "properties": {
+                "id": {"type": "integer", "minimum": 10},
+                "lang": {"enum": ["en", "de", "fr"]},
+                "text": {"type": "string", "minLength": 200, "pattern": "[.]"},
+            },
+        }
+    },
+}
+
+
+@query(
+    """
+    WITH f AS (
+        SELECT d.doc_id, l.doc_id IS NULL AS bare, list_filter([
+            CASE WHEN d.doc_id < 10 THEN '$.doc.id minimum' END,
+            CASE WHEN lang NOT IN ('en', 'de', 'fr') THEN '$.doc.lang enum' END,
+            CASE WHEN length(text) < 200 THEN '$.doc.text minLength' END,
+            CASE WHEN NOT contains(text, '.') THEN '$.doc.text pattern' END,
+            CASE WHEN l.doc_id IS NULL THEN '$.labels minItems' END,
+            CASE WHEN l.doc_id % 3 = 0 THEN '$.labels[0].quality required' END,
+            CASE WHEN toxic = 1 THEN '$.labels[0].toxic enum' END], lambda x: x IS NOT NULL) AS faults
+        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+    SELECT doc_id, len(faults) AS n, list_aggregate(list_sort(faults), 'string_agg', ', ') AS faults FROM f
+    """
+)
+def nested_schema(spark, folder):
+    """Whole documents with their labels as nested JSON, checked by a schema with references, arrays and constants."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    known = labels.select(
+        F.col("doc_id").alias("of"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("quality")).alias("quality"),
+        "toxic",
+    )
+    joined = docs.join(known, F.expr("doc_id = of"), "left")
+    listed = F.when(F.col("of").isNull(), F.expr("CAST(array() AS ARRAY<STRUCT<quality: INT, toxic: INT>>)")).otherwise(
+        F.array(F.struct("quality", "toxic"))
+    )
+    told = F.to_json(F.struct(F.struct(F.col("doc_id").alias("id"), "lang", "text").alias("doc"), listed.alias("labels")))
+    judged = sc.check_schema(joined.select("doc_id", told.alias("said")), "said", NESTED)
+    texts = F.transform("faults", lambda f: F.concat(f["path"], F.lit(" "), f["rule"]))
+    return judged.select(
+        "doc_id",
+        F.size("faults").cast("bigint").alias("n"),
+        F.nullif(F.array_join(F.sort_array(texts), ", "), F.lit("")).alias("faults"),
+    )

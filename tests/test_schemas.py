@@ -1,0 +1,117 @@
+"""The JSON Schema compiler against a small checker in plain Python."""
+
+import json
+import random
+
+import pytest
+
+from tagwright.operators.schemas import schema_faults
+
+TYPES = {
+    "string": str, "integer": int, "boolean": bool, "null": type(None), "object": dict, "array": list, "number": (int, float),
+}
+
+SCHEMA = {
+    "type": "object",
+    "required": ["a", "b"],
+    "additionalProperties": False,
+    "properties": {
+        "a": {"type": "integer", "minimum": 0, "maximum": 5},
+        "b": {
+            "type": "array",
+            "minItems": 1,
+            "maxItems": 2,
+            "items": {
+                "type": ["object", "null"],
+                "required": ["x"],
+                "properties": {"x": {"enum": ["p", "ü'q", 1, None, True]}, "deep": {"$ref": "#/$defs/deep"}},
+            },
+        },
+        "c": {"anyOf": [{"type": "string", "maxLength": 2}, {"type": "null"}, {"allOf": [{"type": "number"}, {"minimum": 7}]}]},
+        "d": {"type": "object", "additionalProperties": {"type": "string", "minLength": 2, "pattern": "^z"}},
+        "e": {"const": [1, {"k": "v"}]},
+        "f": False,
+    },
+    "$defs": {"deep": {"type": "array", "items": {"type": "array", "items": {"type": "boolean"}}}},
+}
+
+
+def is_type(v, kinds):
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    return any(isinstance(v, TYPES[k]) and (k == "boolean" or not isinstance(v, bool)) for k in kinds)
+
+
+def slow(v, s, path="$"):
+    if s is True:
+        return []
+    if s is False:
+        return [(path, "false")]
+    if "$ref" in s:
+        return slow(v, SCHEMA["$defs"][s["$ref"].split("/")[-1]], path)
+    out = []
+    if "type" in s and not is_type(v, s["type"]):
+        out.append((path, "type"))
+    for allowed in ([s["enum"]] if "enum" in s else []) + ([[s["const"]]] if "const" in s else []):
+        if not any(type(v) is type(a) and v == a for a in allowed):
+            out.append((path, "enum"))
+    if isinstance(v, str):
+        out += [(path, "minLength")] * (len(v) < s.get("minLength", 0)) + [(path, "maxLength")] * (len(v) > s.get("maxLength", 1 << 30))
+        out += [(path, "pattern")] * ("pattern" in s and not v.startswith("z"))
+    if is_type(v, "number"):
+        out += [(path, "minimum")] * (v < s.get("minimum", -1e300)) + [(path, "maximum")] * (v > s.get("maximum", 1e300))
+    if isinstance(v, dict):
+        out += [(f"{path}.{n}", "required") for n in s.get("required", []) if n not in v]
+        known, others = s.get("properties", {}), s.get("additionalProperties", True)
+        for n in v:
+            if n in known:
+                out += slow(v[n], known[n], f"{path}.{n}")
+            elif others is False:
+                out.append((f"{path}.{n}", "additional"))
+            else:
+                out += slow(v[n], others, f"{path}.{n}")
+    if isinstance(v, list):
+        out += [(path, "minItems")] * (len(v) < s.get("minItems", 0)) + [(path, "maxItems")] * (len(v) > s.get("maxItems", 1 << 30))
+        for i, x in enumerate(v):
+            out += slow(x, s.get("items", True), f"{path}[{i}]")
+    for part in s.get("allOf", []):
+        out += slow(v, part, path)
+    if "anyOf" in s and all(slow(v, part, path) for part in s["anyOf"]):
+        out.append((path, "anyOf"))
+    return out
+
+
+def made(rng, depth=0):
+    kind = rng.choice(["s", "i", "f", "b", "n", "o", "l"][: 5 if depth > 3 else 7])
+    if kind == "o":
+        names = rng.sample(["a", "b", "c", "d", "e", "x", "deep", "other"], rng.randint(0, 5))
+        return {n: made(rng, depth + 1) for n in names}
+    if kind == "l":
+        return rng.choice([[1, {"k": "v"}], [made(rng, depth + 1) for _ in range(rng.randint(0, 3))]])
+    return {"s": rng.choice(["p", "ü'q", "zz", "", "long one"]), "i": rng.randint(-2, 9), "f": 0.5, "b": rng.random() < 0.5, "n": None}[kind]
+
+
+def test_equals_the_plain_checker(spark):
+    rng = random.Random(6)
+    values = [made(rng) for _ in range(300)]
+    values += [{"a": rng.randint(-1, 6), "b": [made(rng, 2) for _ in range(rng.randint(0, 3))], **({"c": made(rng, 3)} if i % 2 else {}), **({"d": {"k": made(rng, 4)}} if i % 3 else {}), **({"e": made(rng, 1)} if i % 5 == 0 else {})} for i in range(300)]
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "id long, said string")
+    got = {r.id: sorted(map(tuple, r.faults)) for r in df.select("id", schema_faults("said", SCHEMA).alias("faults")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == sorted(slow(v, SCHEMA)), (v, got[i])
+    assert sum(not f for f in got.values()) > 0
+
+
+def test_no_json(spark):
+    texts = [None, "", "x", '{"a": 1} more', '{"a": 1, "a": 2}', "1, 2", '{"a": 1']
+    df = spark.createDataFrame([(t,) for t in texts], "said string")
+    for r in df.select(schema_faults("said", {}).alias("f")).collect():
+        assert [tuple(x) for x in r.f] == [("$", "not JSON")]
+    one = spark.createDataFrame([("[1, 2]",), ("null",)], "said string")
+    assert all(r.f == [] for r in one.select(schema_faults("said", True and {}).alias("f")).collect())
+
+
+def test_what_is_not_supported_is_refused(spark):
+    with pytest.raises(ValueError, match="oneOf"):
+        schema_faults("said", {"properties": {"a": {"oneOf": []}}})
+    with pytest.raises(ValueError, match="itself"):
+        schema_faults("said", {"$ref": "#/$defs/x", "$defs": {"x": {"properties": {"again": {"$ref": "#/$defs/x"}}}}})
