@@ -76,6 +76,19 @@ HEADLINE = {
     "step_speed_cut": "events",
     "control_lists_cut": "events",
     "chat_messages_cut": "conversations",
+    "vocab_clean_table": "orders",
+    "vocab_fuzzy_join": "conversations",
+    "driving_rule_table": "documents",
+    "word_rule_table": "documents",
+    "schema_conformance": "documents",
+    "nested_schema": "documents",
+    "vocab_pieces": "customer",
+    "definition_pieces": "documents",
+    "stream_annotate": "documents",
+    "merge_in_parts": "labels",
+    "growing_summary": "labels",
+    "arriving_outputs": "documents",
+    "growing_series": "events",
 }
 
 

@@ -57,7 +57,7 @@ def _small_groups(df: DataFrame, group: str, order: str) -> DataFrame:
 def vocabulary_lines(vocabulary: DataFrame) -> DataFrame:
     """``(field, line)`` with ``  field: [a, b]``, from ``(field, position, value)``.
 
-    A vocabulary has to fit in a prompt: a field of more than ``MAX_LINES`` values is an error.
+    A vocabulary has to fit in a prompt: a field of more than ``MAX_LINES`` values is an error; see ``vocabulary_pieces``.
     """
     values = _joined("position", F.col("value"), ", ")
     return _small_groups(vocabulary, "field", "position").groupBy("field").agg(values.alias("values")).select(
@@ -78,6 +78,42 @@ def definition_blocks(
     return _small_groups(defined, group, position).groupBy(group).agg(_joined(position, line, "\n").alias("block"))
 
 
+def _in_pieces(df: DataFrame, group: str, order: str, line: Column, lines: int, hot_rows: int | None) -> DataFrame:
+    """``(group, start, lines)``: the lines of each group in order, at most ``lines`` in a row."""
+    entries = Ordered(df.select(group, F.col(order).alias("__order"), line.alias("__line")), [group], ["__order", "__line"], 1, hot_rows)
+    placed = entries.own_rows(entries.rows.selectExpr("*", f"{entries.position} AS position"))
+    return bounded_lists(placed, entries.list_group, "position", lines, {"lines": "__line"})
+
+
+def vocabulary_pieces(vocabulary: DataFrame, lines: int = MAX_LINES, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """``(field, start, line)``: ``vocabulary_lines`` of any size, a line for every ``lines`` values.
+
+    ``start`` is the 0-based index of the line's first value, 0, ``lines``, and so on. A field of up to ``lines`` values has the
+    one line of ``vocabulary_lines``. A larger one is given to several prompts, or looked up by its pieces.
+    """
+    pieces = _in_pieces(vocabulary, "field", "position", F.col("value"), lines, hot_rows)
+    joined = F.array_join("lines", ", ")
+    return pieces.select("field", "start", F.concat(F.lit("  "), "field", F.lit(": ["), joined, F.lit("]")).alias("line"))
+
+
+def definition_pieces(
+    definitions: DataFrame,
+    group: str = "field",
+    position: str = "position",
+    value: str = "value",
+    definition: str = "definition",
+    lines: int = MAX_LINES,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """``(group, start, block)``: ``definition_blocks`` of any size, in blocks of at most ``lines`` lines.
+
+    Values without a text are left out and not counted.
+    """
+    line = F.concat(F.lit("  - **"), F.col(value), F.lit("**: "), F.col(definition))
+    pieces = _in_pieces(definitions.filter(F.col(definition).isNotNull()), group, position, line, lines, hot_rows)
+    return pieces.select(group, "start", F.array_join("lines", "\n").alias("block"))
+
+
 def prompt(
     key: Column,
     text: Column,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagwright.operators import annotate as an
 from tagwright.operators import matching as ma
+from tagwright.operators import prompts as pr
 from tagwright.operators import rules as ru
 from tagwright.operators import schemas as sc
 from tagwright.plans.catalog import PRIORITIES, RULE_FIELDS, SQL, phrased_documents, planted_answers, query, table
@@ -185,3 +186,35 @@ def nested_schema(spark, folder):
         F.size("faults").cast("bigint").alias("n"),
         F.nullif(F.array_join(F.sort_array(texts), ", "), F.lit("")).alias("faults"),
     )
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT c_mktsegment AS field, c_name AS value, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS place
+        FROM customer)
+    SELECT field, place // 50 * 50 AS start, '  ' || field || ': [' || string_agg(value, ', ' ORDER BY place) || ']' AS line
+    FROM v GROUP BY field, place // 50 * 50
+    """
+)
+def vocab_pieces(spark, folder):
+    """Vocabularies of hundreds to thousands of values, in lines of fifty."""
+    values = table(spark, folder, "customer").selectExpr("c_mktsegment AS field", "c_custkey AS position", "c_name AS value")
+    return pr.vocabulary_pieces(values, 50)
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT lang, '  - **' || doc_id || '**: ' || n_chars || ' characters from ' || source AS line,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place
+        FROM documents)
+    SELECT lang, place // 40 * 40 AS start, string_agg(line, chr(10) ORDER BY place) AS block FROM v GROUP BY ALL
+    """
+)
+def definition_pieces(spark, folder):
+    """A line for every document, in blocks of forty per language; languages of over 75 documents are cut."""
+    docs = table(spark, folder, "documents").selectExpr(
+        "lang", "doc_id", "CAST(doc_id AS STRING) AS name", "concat(n_chars, ' characters from ', source) AS text"
+    )
+    return pr.definition_pieces(docs, "lang", "doc_id", "name", "text", 40, hot_rows=75)

@@ -32,6 +32,25 @@ def test_vocabulary_and_definition_blocks(spark):
     assert fields == {"environment": "\n".join(lines[:6]), "agent": "\n".join(lines[6:])}
 
 
+@pytest.mark.parametrize("hot_rows", [None, 4])
+def test_blocks_of_any_size_come_in_pieces(spark, hot_rows):
+    table = vocabulary_table(spark)
+    whole = {(r.field, 0): r.line for r in pr.vocabulary_lines(table).collect()}
+    assert {(r.field, r.start): r.line for r in pr.vocabulary_pieces(table, hot_rows=hot_rows).collect()} == whole
+    blocks = {(r.field, 0): r.block for r in pr.definition_blocks(table).collect()}
+    assert {(r.field, r.start): r.block for r in pr.definition_pieces(table, hot_rows=hot_rows).collect()} == blocks
+    many = spark.range(pr.MAX_LINES + 7).selectExpr("'f' AS field", "id AS position", "concat('v', id) AS value")
+    lines = {r.start: r.line for r in pr.vocabulary_pieces(many, hot_rows=hot_rows and 3000).collect()}
+    assert list(sorted(lines)) == [0, pr.MAX_LINES]
+    assert lines[pr.MAX_LINES] == f"  f: [{', '.join(f'v{pr.MAX_LINES + i}' for i in range(7))}]"
+    for size in (1, 3, 5):
+        got = {}
+        for r in pr.vocabulary_pieces(table, size, hot_rows).collect():
+            got.setdefault(r.field, {})[r.start] = r.line.removeprefix(f"  {r.field}: [").removesuffix("]").split(", ")
+        for field, values in VOCABULARY.items():
+            assert got[field] == {i: values[i : i + size] for i in range(0, len(values), size)}
+
+
 @pytest.mark.parametrize("hot_rows,max_turns", [(10**6, 10**6), (10**6, 3), (4, 10**6), (2, 2)])
 def test_turns_become_whole_ordered_chats(spark, hot_rows, max_turns):
     rows = [(c, t, "user" if t % 2 else "bot", f"{c}{t}") for c, n in (("a", 1), ("b", 11), ("d", 4)) for t in range(n)]
