@@ -279,7 +279,7 @@ def _tree(n: np.ndarray, s: np.ndarray) -> np.ndarray:
         size = joint.sum(axis=0)
         a, b = (joint[0] + joint[1]) / size, (joint[0] + joint[2]) / size
         expected = np.stack([a * b, a * (1 - b), (1 - a) * b, (1 - a) * (1 - b)])
-        information += (joint * np.log(joint / size / expected)).sum(axis=0) / total
+        information += (joint * np.log(joint / size / expected)).sum(axis=0) / max(total, 1e-9)
     np.fill_diagonal(information, 0)
     parent = np.full(m, -1)
     inside, gain, best = np.zeros(m, bool), np.zeros(m), np.full(m, -1)
