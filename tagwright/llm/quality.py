@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.common import as_bytes, text_or_empty
 
-#: Labelled rows per label that a dictionary is trained on, and the bytes taken of each: what the driver holds.
+#: Labelled rows per label that a dictionary is trained on, and the characters taken of each, in pieces
+#: spread evenly over the whole text: what the driver holds.
 DICTIONARY_ROWS = 1500
-EXCERPT = 4000
+EXCERPT, PIECES = 4000, 4
 DICTIONARY_BYTES = 64 << 10
 #: Other labelled rows per label that the probability is fitted on; only their sizes reach the driver.
 CALIBRATION_ROWS = 4000
@@ -77,7 +78,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
-def _measured(rows: DataFrame, dictionaries: tuple[bytes, bytes], keep: str, kind: str) -> DataFrame:
+def _measured(rows: DataFrame, dictionaries: tuple[bytes, bytes], keep: str) -> DataFrame:
     """The column ``keep`` and the four measures of ``text``."""
 
     def work(batches):
@@ -88,6 +89,7 @@ def _measured(rows: DataFrame, dictionaries: tuple[bytes, bytes], keep: str, kin
                 [batch.column(0), *[pa.array(c, pa.float64()) for c in columns]], [keep, "m0", "m1", "m2", "m3"]
             )
 
+    kind = rows.schema[keep].dataType.simpleString()
     return rows.select(keep, "text").mapInArrow(work, f"{keep} {kind}, m0 double, m1 double, m2 double, m3 double")
 
 
@@ -102,12 +104,15 @@ def fit(
     target: str = "quality",
     dictionary_rows: int = DICTIONARY_ROWS,
     calibration_rows: int = CALIBRATION_ROWS,
+    excerpt: int = EXCERPT,
 ) -> dict:
     """Dictionaries and probability from labelled rows outside the held-out fold.
 
-    Rows are chosen by hash of their doc_id, up to ``dictionary_rows`` and ``calibration_rows`` per
-    label; the shares of the labels among all labelled rows weigh them. Without rows of both labels the score is
-    the share of label 1, or a half without any. Labels that are null or have no document are ignored.
+    doc_ids are chosen by hash, up to ``dictionary_rows`` and ``calibration_rows`` per label, and each gives one row, of
+    several that with the least hash of the text; the shares of the labels among all labelled rows weigh them.
+    A dictionary sees ``excerpt`` characters of a text, in pieces from its beginning to its end. Without
+    rows of both labels the score is the share of label 1, or a half without any. Of several labels of a doc_id the
+    greater counts. Labels that are null or have no document are ignored.
     """
     known = (
         labels.select(F.col("doc_id").alias("id"), F.col(target).cast("int").alias("y"))
@@ -142,12 +147,20 @@ def fit(
         dealt, f"id {known.schema['id'].dataType.simpleString()}, y int, train boolean"
     )
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), F.expr("doc_id = id"))
-    excerpts = rows.filter("train").select("y", F.encode(F.substring("text", 1, EXCERPT), "UTF-8").alias("b"))
+    piece = excerpt // PIECES
+    parts = ", ".join(f"substring(text, 1 + CAST(floor((length(text) - {piece}) * {k}D / {PIECES - 1}) AS INT), {piece})" for k in range(PIECES))
+    spread = F.expr(f"encode(IF(length(text) > {excerpt}, concat({parts}), text), 'UTF-8')")
+    # Both lists have one entry for each chosen doc_id at most.
+    excerpts = rows.filter("train").select("doc_id", "y", F.xxhash64("text").alias("h"), spread.alias("b"))
     by = {0: [], 1: []}
-    for y, b in sorted(excerpts.limit(2 * most).collect()):
-        by[y].append(bytes(b))
+    for y, b in sorted((r.y, bytes(r.m.b)) for r in excerpts.groupBy("doc_id", "y").agg(F.min(F.struct("h", "b")).alias("m")).collect()):
+        by[y].append(b)
     dictionaries = (_dictionary(by[0]), _dictionary(by[1]))
-    sizes = _measured(rows.filter("NOT train"), dictionaries, "y", "int").limit(4 * most).collect()
+    measured = _measured(
+        rows.filter("NOT train").select(F.struct("doc_id", "y", F.xxhash64("text").alias("h")).alias("of"), "text"), dictionaries, "of"
+    )
+    one = measured.groupBy("of.doc_id", "of.y").agg(F.min(F.struct("of.h", "m0", "m1", "m2", "m3")).alias("m"))
+    sizes = one.select("y", "m.m0", "m.m1", "m.m2", "m.m3").collect()
     if len({r[0] for r in sizes}) < 2:
         return {"prior": prior}
     data = np.array(sorted(map(tuple, sizes)), float)
