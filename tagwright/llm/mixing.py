@@ -8,6 +8,8 @@ the histogram of sizes, which Spark aggregates; the rates are then rounded into
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -82,7 +84,7 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame
 
     The dual of a source is convex and its slope, the words taken less the target, rises with the
     tilt. Newton steps from zero are kept inside the bracket that the slopes seen so far leave, and halve it where they
-    would leave it. Targets at the upper end have tilt infinity: every document in full.
+    would leave it. Sources still open after ``STEPS`` steps are reported by a warning; their last tilt holds. Targets at the upper end have tilt infinity: every document in full.
     """
     at_end = f"target >= source_size * {float(most)}D * (1 - 1e-12)"
     state = stored(
@@ -134,6 +136,10 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame
             )
         )
         state = stored(after, "tilts")
+    else:
+        still = state.filter("NOT done").count()
+        if still:
+            warnings.warn(f"{still} sources are not within {TOLERANCE} of their targets after {STEPS} steps", stacklevel=2)
     return state
 
 
