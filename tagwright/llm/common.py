@@ -19,10 +19,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write below the shared folder and read back: later steps and retries see the same rows."""
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

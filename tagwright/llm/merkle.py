@@ -9,15 +9,17 @@ their leaves, and differing branches locate the edit.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
+from os.path import commonprefix
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import as_bytes, stored, text_or_empty
+from tagwright.llm.common import as_bytes, n_bytes, stored, text_or_empty
 
 #: Bytes after which a line may be cut, at the next sentence end or at the limit; a shorter rest is a leaf.
 LEAF_LEAST, LEAF_MOST = 64, 256
@@ -25,6 +27,11 @@ LEAF_LEAST, LEAF_MOST = 64, 256
 SECTION = 8
 RANGE_BYTES = 8 << 20
 
+#: Rows with their result; the first and the last text of a range.
+_DONE, _FIRST, _LAST = 0, 1, 2
+#: Characters of a fingerprint that are the root.
+_ROOT = 32
+
 _LEAF = re.compile(
     rb"[^\n]{0,%d}(?:\n|$)|[^\n]{%d,%d}?[.!?|](?=\s)|[^\n]{%d,%d}(?:\n|$)|[^\n]{%d}"
     % (LEAF_LEAST, LEAF_LEAST, LEAF_MOST - 1, LEAF_LEAST + 1, LEAF_MOST - 1, LEAF_MOST)
@@ -132,88 +139,101 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def _row(doc_id: int | None, text: str, known: tuple, following: str, next_tree: tuple) -> tuple:
+    """One row of ``fingerprint_edits``; ``known`` and ``next_tree`` are the trees of both texts."""
+    new = edited(text, following).encode()
+    changed = known if new == text.encode() else tree(new)
+    return (
+        doc_id, len(text), hashlib.sha256(new).hexdigest(), written(*known), written(*changed),
+        likeness(known, changed), likeness(known, next_tree),
+    )
+
+
+_RESULT = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_NAMES = [f.split()[0] for f in _RESULT.split(", ")]
+
+
 def fingerprint_edits(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each row and its edited text, with both fingerprints and how alike they are.
 
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next``. The next document is the one with the next smaller doc_id, after the last the
-    first; a table of one row is its own next. Rows are cut into ranges of doc_id by bytes, and each range also
-    gets the first row of the next one, so the text is shuffled once and read in
-    order. Null texts are empty. Null doc_ids come last; equal ones are ordered by a hash of the text. Other
-    columns are ignored; an empty table gives no rows.
+    first; a table of one row is its own next. Null texts are empty. Null doc_ids come last; equal ones are
+    ordered by a hash of the text, and equal rows by the task that read them, so that copies lie in many
+    ranges too. Other columns are ignored; an empty table gives no rows.
+
+    Spark shuffles the texts once, into ranges of that order of about ``range_bytes`` bytes each; a task reads its
+    range in order. Its last text has its next one in another range: first and last texts of the ranges are written beside
+    the results and joined, two rows a range. Neither the plan nor what the driver holds grows with
+    the number of ranges, but for the range bounds that Spark itself keeps.
     """
-    import hashlib
-
     text = text_or_empty()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
-    # Order: descending doc_id, then tie. ``o`` rises along it.
-    keys = stored(rows.select(F.expr("coalesce(-1L - doc_id, 9223372036854775807L)").alias("o"), "tie", n_bytes_of("text")), "keys")
-    total = keys.agg(F.sum("b")).first()[0]
-    if total is None:
-        total = 0
+    total = docs.agg(F.sum(n_bytes(text))).first()[0] or 0
     parts = max(1, -(-int(total) // range_bytes))
-    cuts = []
-    if parts > 1:
-        at = [k / parts for k in range(1, parts)]
-        cuts = sorted(set(keys.approxQuantile("o", at, 0.1 / parts)))
-        cuts = [int(c) for c in cuts]
-    part = " + ".join([f"IF(o >= {c}L, 1, 0)" for c in cuts]) or "0"
-    placed = keys.withColumn("part", F.expr(part))
-    # The first row of every range: at most one per range, with its key but without its text.
-    heads = {p: (o, t) for p, o, t in placed.groupBy("part").agg(F.min(F.struct("o", "tie")).alias("m")).select("part", "m.o", "m.tie").collect()}
-    order = sorted(heads)
-    full = rows.withColumn("o", F.expr("coalesce(-1L - doc_id, 9223372036854775807L)")).withColumn("part", F.expr(part))
-    own = full.select("part", "o", "tie", "doc_id", "text", F.lit(0).alias("guest"))
-    also = "CASE " + " ".join(
-        f"WHEN o = {heads[p][0]}L AND tie = {_long(heads[p][1])} THEN {order[i - 1]}" for i, p in enumerate(order)
-    ) + " END" if order else "CAST(NULL AS int)"
-    guests = (
-        full.withColumn("for", F.expr(also))
-        .filter("`for` IS NOT NULL")
-        .selectExpr("CAST(`for` AS int) AS part", "o", "tie", "doc_id", "text", "1 AS guest")
-    )
-    together = (
-        own.union(guests).repartition(-(-len(order) // 4) or 1, "part").sortWithinPartitions("part", "guest", "o", "tie")
+    # Order: descending doc_id, then the hash. ``o`` rises along it.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).selectExpr(
+        "coalesce(-1L - doc_id, 9223372036854775807L) AS o", "xxhash64(text) AS tie", "spark_partition_id() AS task", "doc_id", "text"
     )
+    order = ["o", "tie", "task"]
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def work(batches):
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-
-        def finish(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        def finish(out):
+            columns = list(zip(*out))
+            arrays = [pa.array(c, k) for c, k in zip(columns, [pa.int32(), pa.int32(), pa.string(), pa.int32(), *_KINDS])]
+            return pa.RecordBatch.from_arrays(arrays, ["kind", "part", "text", "shared", *_NAMES])
 
+        none = [None] * (len(_NAMES) - 1)
         last, out, held = None, [], 0
         for batch in batches:
-            for p, doc, t, guest in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), batch.column(3).to_pylist()
-            ):
-                whole, now = t.decode(), None
-                if last is not None and last[0] == p and not last[4]:
-                    _, before, doc_text, known, _ = last
-                    now = tree(t)
-                    new = edited(doc_text, whole).encode()
-                    changed = known if new == doc_text.encode() else tree(new)
-                    out.append((before, len(doc_text), hashlib.sha256(new).hexdigest(), written(*known),
-                                written(*changed), likeness(known, changed), likeness(known, now)))
-                    held += len(t) + len(out[-1][3])
-                last = (p, doc, whole, now or tree(t), guest)
+            for part, doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2))):
+                whole, now = raw.decode(), tree(raw)
+                if last is None:
+                    out.append((_FIRST, part, whole, None, doc, *none))
+                else:
+                    row = _row(*last[1:], whole, now)
+                    # The edited fingerprint is written without the branches that it begins with in common.
+                    shared = len(commonprefix([row[3][_ROOT:], row[4][_ROOT:]]))
+                    out.append((_DONE, part, None, shared, *row[:4], row[4][:_ROOT] + row[4][_ROOT + shared :], *row[5:]))
+                    held += len(raw) + len(row[3])
+                last = (part, doc, whole, now)
                 if held > 8 << 20:
                     yield finish(out)
                     out, held = [], 0
+        if last:
+            out.append((_LAST, last[0], last[2], None, last[1], *none))
         if out:
             yield finish(out)
 
-    return together.select("part", "doc_id", "text", "guest").mapInArrow(
-        work,
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
+    done = stored(
+        ranged.selectExpr("spark_partition_id() AS part", "doc_id", "text").mapInArrow(
+            work, f"kind int, part int, text string, shared int, {_RESULT}"
+        ),
+        "fingerprints",
+        compression="zstd",
     )
-
-
-def n_bytes_of(name: str):
-    return F.octet_length(name).cast("long").alias("b")
-
-
-def _long(x: int) -> str:
-    return f"{x}L" if x > -(1 << 63) else "(-9223372036854775807L - 1L)"
+    edges = done.filter(f"kind <> {_DONE}").select("kind", "part", "doc_id", "text")
+    first = edges.filter(f"kind = {_FIRST}").select(F.col("part").alias("next"), F.col("text").alias("following"))
+    # One number for each range that has rows; the first follows the last.
+    after = first.selectExpr(
+        "lag(next, 1) OVER (ORDER BY next) AS part", "max(next) OVER () AS end", "next"
+    ).selectExpr("coalesce(part, end) AS part", "next")
+    pairs = edges.filter(f"kind = {_LAST}").join(after, "part").join(first, "next").select("doc_id", "text", "following")
+
+    def meet(batches):
+        for batch in batches:
+            out = []
+            for doc, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                out.append(_row(doc, a, tree(a.encode()), b, tree(b.encode())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), _KINDS)] if out else [pa.array([], k) for k in _KINDS], _NAMES)
+
+    whole = (
+        f"concat(left(edited_fingerprint, {_ROOT}), substring(fingerprint, {_ROOT + 1}, shared), "
+        f"substring(edited_fingerprint, {_ROOT + 1})) AS edited_fingerprint"
+    )
+    rows = done.filter(f"kind = {_DONE}").selectExpr(*[whole if n == "edited_fingerprint" else n for n in _NAMES])
+    return rows.union(pairs.mapInArrow(meet, _RESULT))

@@ -39,3 +39,34 @@ def test_edits_at_the_beginning_of_a_line_are_located():
     a, b = merkle.tree(b"".join(lines)), merkle.tree(b"".join(other))
     assert merkle.likeness(a, b) < 1
     assert merkle.changes(a, b) == [(at, at + len(lines[20]))]
+
+
+def slow_edits(rows):
+    """(doc_id, text) in order; the edited text and both likenesses of each row."""
+    out = []
+    for i, (doc, text) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        new = merkle.edited(text, after)
+        own, changed, next_ = (merkle.tree(t.encode()) for t in (text, new, after))
+        out.append((doc, len(text), merkle.written(*own), merkle.written(*changed), merkle.likeness(own, changed), merkle.likeness(own, next_)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 30, 5_000, 60])
+def test_any_number_of_ranges_gives_the_same_rows(spark, range_bytes):
+    """Up to about 800 ranges; a third of the rows has no doc_id, another third has the same one."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abc. \n", k=rng.randint(0, 300))) for _ in range(300)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hashed = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) AS h").collect()}
+    order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else float("inf"), hashed[r[1]]))
+    got = merkle.fingerprint_edits(df, range_bytes).collect()
+    ours = sorted(((r.doc_id, r.n_chars, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got), key=repr)
+    assert ours == slow_edits(order)
+
+
+def test_the_plan_does_not_grow_with_the_ranges(spark):
+    df = spark.range(400).selectExpr("id AS doc_id", "repeat('some text. ', 20) AS text")
+    sizes = [len(merkle.fingerprint_edits(df, b)._jdf.queryExecution().analyzed().toString()) for b in (1 << 30, 200)]
+    assert abs(sizes[0] - sizes[1]) < 100
