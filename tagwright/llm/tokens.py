@@ -16,6 +16,8 @@ from tagwright.llm.common import as_bytes
 
 #: A task forgets its trie at so many nodes; results are the same.
 NODES = 2_000_000
+#: A longer pre-token goes on without nodes from here; only the scores of its last prefixes are kept.
+DEEP = 4096
 #: Stands before every pre-token, as in the vocabulary.
 START = "▁"
 #: How much worse than the worst piece a character outside the vocabulary is.
@@ -38,10 +40,12 @@ class Trie:
     """Pre-tokens as paths. Node arrays hold the best score of a prefix and its number of tokens.
 
     A character outside the vocabulary counts as its UTF-8 bytes. Of equal scores the split whose last piece is
-    shortest wins. Prefixes are never recomputed: a new pre-token starts at the deepest node it has.
+    shortest wins. Prefixes are never recomputed: a new pre-token starts at the deepest node it has. At ``nodes`` nodes the
+    trie is emptied, and no pre-token adds more than ``deep``, however long it is.
     """
 
-    def __init__(self, scores: dict[str, float]):
+    def __init__(self, scores: dict[str, float], nodes: int = NODES, deep: int = DEEP):
+        self.nodes, self.deep = nodes, deep
         self.by_end: dict[str, list[tuple[str, int, float]]] = {}
         for piece, s in scores.items():
             self.by_end.setdefault(piece[-1], []).append((piece, len(piece), s))
@@ -62,9 +66,11 @@ class Trie:
         known = self.ends.get(token)
         if known is not None:
             return known
+        if len(self) > self.nodes:
+            self.clear()
         path, node = [0], 0
         children, scores, best, count = self.children, self.scores, self.best, self.count
-        for i, c in enumerate(token):
+        for i, c in enumerate(token[: self.deep]):
             below = children[node].get(c)
             if below is None:
                 # The forward step: the last piece of this prefix is one of its suffixes.
@@ -82,27 +88,46 @@ class Trie:
                 count.append(n)
             node = below
             path.append(node)
+        if len(token) > self.deep:
+            return self._beyond(token, path)
         self.ends[token] = count[node]
         return count[node]
 
+    def _beyond(self, token: str, path: list[int]) -> int:
+        """The same forward steps after the deepest node, over the scores of the last prefixes only."""
+        scores, kept = self.scores, self.longest
+        last = [(self.best[p], self.count[p]) for p in path[-kept:]]
+        for i in range(len(path) - 1, len(token)):
+            c = token[i]
+            before, pieces = last[-1]
+            top, n = before + self.worst, pieces + len(c.encode())
+            if c in scores:
+                top, n = before + scores[c], pieces + 1
+            for back in range(1, min(len(last), kept - 1, i + 1)):
+                s = scores.get(token[i - back : i + 1])
+                if s is not None and last[-1 - back][0] + s > top:
+                    top, n = last[-1 - back][0] + s, last[-1 - back][1] + 1
+            last.append((top, n))
+            if len(last) > 64 * kept:
+                del last[:-kept]
+        return last[-1][1]
+
 
 def count_tokens(docs: DataFrame, piece_file: str, nodes: int = NODES) -> DataFrame:
     """Per row: ``doc_id``, ``n_pretokens``, ``n_tokens``.
 
     Pre-tokens are the runs of characters between ASCII blanks, with the start sign before each. Null and
-    empty texts have none. Rows stand alone: repeated rows and doc_ids give repeated results, other
+    empty texts have none; a pre-token of any length takes bounded memory beside its text. Rows stand alone: repeated rows and doc_ids give repeated results, other
     columns are ignored, an empty table gives no rows. There is no shuffle.
     """
     from collections import Counter
 
     def work(batches):
-        trie = Trie(vocabulary(piece_file))
+        trie = Trie(vocabulary(piece_file), nodes)
         for batch in batches:
             lengths, totals = [], []
             for text in as_bytes(batch.column(1)):
                 words = Counter(text.split())
-                if len(trie) > nodes:
-                    trie.clear()
                 lengths.append(sum(words.values()))
                 totals.append(sum(trie.add(START + w.decode()) * n for w, n in words.items()))
             yield pa.RecordBatch.from_arrays(
