@@ -114,7 +114,8 @@ def _chunk_segments(pieces, length, gram):
     begins = np.cumsum(sizes) - sizes
     hashes = gram_hashes(data, gram)
     at = np.arange(len(hashes), dtype=np.uint64)
-    bits = np.uint64(max(1, int(len(hashes)).bit_length()))
+    # Always the same width, so that equal windows name the same anchor in any chunk: of equal upper halves the first counts.
+    bits = np.uint64(32)
     low = (np.uint64(1) << bits) - np.uint64(1)
     least = least_in_windows((hashes & ~low) | at, length - gram + 1)
     anchor = (least & low).astype(np.int64)
