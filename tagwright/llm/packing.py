@@ -3,13 +3,18 @@
 Remainders of documents are dealt to partitions, and each partition packs its own by best fit
 decreasing. A lower bound from dual-feasible functions tells whether its number of bins is the least
 possible. Where it is, all bins but the emptiest are final; else the partition keeps its full bins only. The
-other documents are exchanged between the partitions and packed again.
+other documents are exchanged between the partitions and packed again. A partition that is left alone with a gap
+packs part of its bins again, several times.
 """
 
 from __future__ import annotations
 
+import gc
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -22,9 +27,11 @@ from tagwright.llm.common import as_bytes, stored
 CAPACITY = 4096
 END = 1
 ROUNDS = 4
+#: How often an uncertified part is packed again where no exchange follows.
+ATTEMPTS = 24
 #: Rows that a task packs at a time.
 PART_ROWS = 20_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 
 def _parted(word: bytes) -> tuple[bytes, bytes]:
@@ -33,13 +40,15 @@ def _parted(word: bytes) -> tuple[bytes, bytes]:
     The tokenizer lower-cases, and between a letter or digit and a mark it always cuts. Runs with an apostrophe or the
     beginning of a special token are left whole, as are those where the stem ends otherwise.
     """
+    if word.isalpha():  # ASCII letters only
+        return word.lower(), b""
     if b"'" in word or b"<|" in word:
         return word, b""
     lower = word.lower()
     stem = lower.rstrip(_MARKS)
     if not stem or len(stem) == len(lower):
         return lower, b""
-    if not stem[-4:].decode(errors="ignore")[-1:].isalnum():
+    if not (stem[-1:].isalnum() or stem[-4:].decode(errors="ignore")[-1:].isalnum()):
         return lower, b""
     return stem, lower[len(stem) :]
 
@@ -47,57 +56,97 @@ def _parted(word: bytes) -> tuple[bytes, bytes]:
 _MARKS = b".,;:!?%$&*#|\"()=[]{}/-_+<>~^@"
 
 
+class _Recent:
+    """What was met lately: when ``now`` is full it becomes ``before``, of which only what is met again stays."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys: set[bytes]) -> list[bytes]:
+        """The keys that are not kept; all others are in ``now`` afterwards."""
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
+        now, before = self.now, self.before
+        rest = keys.difference(now)
+        out = rest.difference(before) if before else rest
+        for k in rest - out if before else ():
+            now[k] = before[k]
+        return list(out)
+
+
 def encoder(tokenizer_file: str, end: int = END):
     """Text → little-endian 32-bit ids, the end id last.
 
     The tokenizer never joins across blanks, so each run of other characters is encoded once and kept, and so are
-    the parts that ``_parted`` makes of runs. The memory is emptied at ``CACHE_WORDS`` entries, which changes no result.
+    the parts that ``_parted`` makes of runs: those met lately, about twice ``CACHE_WORDS`` runs and four times as many parts.
     """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     model = Tokenizer.from_file(tokenizer_file)
-    known: dict[bytes, bytes] = {}
-    parts: dict[bytes, bytes] = {}
+    # Letters a to z alone are neither changed by the normalizer nor cut by the pre-tokenizer, so these steps are left out.
+    bare = Tokenizer.from_file(tokenizer_file)
+    bare.normalizer, bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([])
+    known, parts = _Recent(CACHE_WORDS), _Recent(2 * CACHE_WORDS)
     tail = np.array([end], "<u4").tobytes()
 
     def learn(words: list[bytes]) -> None:
-        if len(known) + len(words) > CACHE_WORDS:
-            known.clear()
-        if len(parts) + len(words) > CACHE_WORDS:
-            parts.clear()
         split = [_parted(w) for w in words]
-        new = [p for p in {p for s in split for p in s} if p not in parts]
-        for start in range(0, len(new), 20_000):
-            piece = new[start : start + 20_000]
-            for p, e in zip(piece, model.encode_batch_fast([p.decode() for p in piece], add_special_tokens=False)):
-                parts[p] = np.array(e.ids, "<u4").tobytes()
+        new = parts.missing({p for s in split for p in s})
+        plain, others = [], []
+        for p in new:
+            (plain if p.isalpha() and p.islower() else others).append(p)
+        for by, some in ((bare, plain), (model, others)):
+            for start in range(0, len(some), 20_000):
+                piece = some[start : start + 20_000]
+                for p, e in zip(piece, by.encode_batch_fast([p.decode() for p in piece], add_special_tokens=False)):
+                    parts.now[p] = array("I", e.ids).tobytes()
+        of, into = parts.now, known.now
         for w, (stem, rest) in zip(words, split):
-            known[w] = parts[stem] + parts[rest]
+            into[w] = of[stem] + of[rest]
 
     def encode(texts: list[bytes]) -> list[bytes]:
+        # What is kept has no cycles, and looking for them among a million entries takes a sixth of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return encoded(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(texts: list[bytes]) -> list[bytes]:
         out = []
         for start in range(0, len(texts), 200):
             split = [t.split() for t in texts[start : start + 200]]
-            every = set().union(*split)
-            new = [w for w in every if w not in known]
+            new = known.missing(set().union(*split))
             if new:
                 learn(new)
-                if len(known) < len(every):  # emptied meanwhile
-                    learn([w for w in every if w not in known])
-            out += [b"".join(map(known.__getitem__, words)) + tail for words in split]
+            out += [b"".join(map(known.now.__getitem__, words)) + tail for words in split]
         return out
 
     return encode
 
 
+def kept_encoder(tokenizer_file: str, end: int = END):
+    """The ``encoder`` of this Python worker, which Spark uses for one task after another: files are read and words encoded once.
+
+    It is kept in a module of its own, as this one is sent with every task.
+    """
+    kept = sys.modules.setdefault("_tagwright_kept", ModuleType("_tagwright_kept")).__dict__
+    key = f"encoder of {tokenizer_file} {end}"
+    if key not in kept:
+        kept[key] = encoder(tokenizer_file, end)
+    return kept[key]
+
+
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Per piece of a document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``."""
 
     def work(batches):
-        encode = encoder(tokenizer_file, end)
+        encode = kept_encoder(tokenizer_file, end)
         step = 4 * capacity
         for batch in batches:
             ids, texts = batch.column(0), as_bytes(batch.column(1))
@@ -143,9 +192,10 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     return best
 
 
-def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Bin of each item, numbered from 0, by best fit decreasing; ties by position."""
-    order = np.argsort(-lengths, kind="stable")
+def best_fit(lengths: np.ndarray, capacity: int = CAPACITY, order: np.ndarray | None = None) -> np.ndarray:
+    """Bin of each item, numbered from 0, by best fit decreasing (ties by position), or in the given order."""
+    if order is None:
+        order = np.argsort(-lengths, kind="stable")
     bins = np.empty(len(lengths), np.int64)
     open_rooms: list[int] = []  # the rooms that some bin has, ascending
     by_room: dict[int, list[int]] = {}
@@ -176,6 +226,32 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return bins
 
 
+def repacked(lengths: np.ndarray, bins: np.ndarray, capacity: int = CAPACITY, attempts: int = ATTEMPTS) -> np.ndarray:
+    """Fewer bins, where that is found, for a part that the bound does not certify and that has nobody to exchange with.
+
+    Each attempt takes the emptiest bins and a changing quarter of the others as a second part, whose documents are packed
+    again by best fit in an order that is nearly decreasing. It stays if it needs no more bins, and
+    attempts end as soon as the bound is met. The same part gives the same bins in every run.
+    """
+    count, bound = int(bins.max()) + 1, lower_bound(lengths, capacity)
+    for attempt in range(attempts):
+        if count <= bound:
+            break
+        rng = np.random.default_rng(attempt)
+        fill = np.bincount(bins, lengths, count)
+        taken = rng.random(count) < 0.25
+        taken[np.argsort(fill, kind="stable")[: max(2, count >> 1 + attempt % 4)]] = True
+        items = np.flatnonzero(taken[bins])
+        nearly = lengths[items] * (1 + (rng.random(len(items)) - 0.5) * (0.02, 0.05, 0.1, 0.2)[attempt % 4])
+        again = best_fit(lengths[items], capacity, np.argsort(-nearly, kind="stable"))
+        if again.max() < taken.sum():
+            left = ~taken
+            bins = (np.cumsum(left) - 1)[bins]
+            bins[items] = again + left.sum()
+            count = int(bins.max()) + 1
+    return bins
+
+
 def _round(rows: DataFrame, parts: int, number: int, last: bool, capacity: int) -> DataFrame:
     """Pack each part; ``final`` rows have a sequence, the others go on.
 
@@ -186,6 +262,8 @@ def _round(rows: DataFrame, parts: int, number: int, last: bool, capacity: int)
         group = group.sort_values(["length", "row"], ascending=[False, True], ignore_index=True)
         lengths = group["length"].to_numpy(np.int64)
         bins = best_fit(lengths, capacity)
+        if last:
+            bins = repacked(lengths, bins, capacity)
         count = int(bins.max()) + 1
         fill = np.bincount(bins, lengths, count).astype(np.int64)
         certified = count <= lower_bound(lengths, capacity)
@@ -217,17 +295,20 @@ def pack(
     rounds: int = ROUNDS,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
+    """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``, ``certified``.
 
     Documents are encoded, closed by the end id, and cut only where longer than a sequence. A full piece
     is a sequence of its own; the others are packed in at most ``rounds`` rounds, each over what the one before left in
-    parts with gaps. Null texts are empty: a piece of the end id alone. Repeated rows are packed
+    parts with gaps. ``certified`` tells whether the part that placed the piece has the least possible number of bins; one that has
+    not, and has nobody left to exchange with, was packed again ``ATTEMPTS`` times. Null texts are empty: a piece of the end id alone. Repeated rows are packed
     like any other. Other columns are ignored; an empty table gives no rows.
     """
     numbered = stored(
         pieces(docs, tokenizer_file, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces"
     )
-    full = numbered.filter(F.col("length") == capacity).selectExpr("row", "shiftleft(1L, 62) + row AS sequence_id", "0L AS offset")
+    full = numbered.filter(F.col("length") == capacity).selectExpr(
+        "row", "shiftleft(1L, 62) + row AS sequence_id", "0L AS offset", "true AS certified"
+    )
     rest = numbered.filter(F.col("length") < capacity).select("row", "length")
     placed = full
     for number in range(rounds):
@@ -237,7 +318,7 @@ def pack(
         parts = -(-n // part_rows)
         last = number == rounds - 1 or parts == 1
         packed = stored(_round(rest, parts, number, last, capacity), "packed")
-        placed = placed.union(packed.filter("final").select("row", "sequence_id", "offset"))
+        placed = placed.union(packed.filter("final").select("row", "sequence_id", "offset", "certified"))
         rest = packed.filter("NOT final").select("row", "length")
         if last:
             break

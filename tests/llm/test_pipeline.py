@@ -87,7 +87,9 @@ def test_packing_places_every_document_and_copy(stages):
         n = len(model.encode(r.text, add_special_tokens=False).ids) + 1
         expected.update((r["doc_id"], k, min(4096, n - s)) for k, s in enumerate(range(0, n, 4096)))
     assert Counter((r["doc_id"], r.piece, r.length) for r in after) == expected
-    assert check_packed(after, 4096) == packing.lower_bound(np.array([r.length for r in after]))
+    # Either the bound says that fewer sequences cannot do, or the rows say that the last part is not certified.
+    gap = check_packed(after, 4096) - packing.lower_bound(np.array([r.length for r in after]))
+    assert gap == 0 or gap <= 1 and not all(r.certified for r in after)
 
 
 def test_run_gives_the_rows_of_the_stages(spark, stages):
