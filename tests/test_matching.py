@@ -105,6 +105,26 @@ def test_rules_without_words_and_five_thousand_rules(spark):
     }
 
 
+def test_whole_word_rules_move_no_text(spark, tmp_path, monkeypatch):
+    """Rules for a word between blanks give what patterns give, odd line ends included, and the texts are not written."""
+    rng = random.Random(3)
+    blanks = [" ", "\t", "\n", "\r\n", "\x0b", "\u0085", "\u2028", "\u00a0", ".", "  "]
+    values = ["a", "in", "rain", "ä", "x_1", "Rain", "a"]
+    texts = [(i, "".join(rng.choice([*values, "raining"]) + rng.choice(blanks) for _ in range(rng.randint(0, 9)))) for i in range(300)]
+    df = spark.createDataFrame([*texts, *texts[:50], (300, None), (301, ""), (302, "a"), (303, "in\u2029"), (304, "in\u0085\n")], "id long, text string")
+    spelled = [r"(^|\s){}($|\s)", r"(^|[ \t\n\x0B\f\r]){}($|[ \t\n\x0B\f\r])", r"(^|[ \t\n\x0B\f\r]){}($|[ \t\n\x0B\f\r])", r"\b{}\b"]
+    rules = [("even" if i % 2 else "odd", spelled[i % 4].format(v), f"{v}{i}", (v,)) for i, v in enumerate(values)]
+    for some in (rules, [r for r in rules if r[1][0] == "("]):
+        for lower in (True, False):
+            expected = an.label_by_rules(df, "text", some, lower)
+            ours = ru.label_by_rule_table(df, "text", ru.rules_table(spark, some), ["odd", "even"], lower)
+            assert sorted(ours.select(expected.columns).collect(), key=repr) == sorted(expected.collect(), key=repr)
+    names = []
+    monkeypatch.setattr(ma, "shared_folder", lambda spark, name: names.append(name) or str(tmp_path / f"{name}-{len(names)}"))
+    ru.label_by_rule_table(df, "text", ru.rules_table(spark, [r for r in rules if r[1][0] == "("]), ["odd", "even"]).collect()
+    assert names == ["rules"]
+
+
 def test_unwrapping_of_stray_quotes(spark):
     cells = {
         """[['plain']]""": "plain",
