@@ -14,11 +14,17 @@ from tagwright.streaming import retries as rt
 from tagwright.streaming import series as se
 
 
-def _in_files(df, base: str, n: int) -> str:
-    """The rows as ``n`` files, one after another in time; every row is in one."""
-    for i in range(n):
-        df.filter(f"pmod(xxhash64(*), {n}) = {i}").coalesce(1).write.mode("append").parquet(f"{base}/input")
-    return f"{base}/input"
+def _arrive(df, path: str) -> int:
+    """Append the rows in as many files as Spark has tasks for them, and tell how many files are there now."""
+    df.write.mode("append").parquet(path)
+    return len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
+
+
+def _in_files(df, base: str, n: int) -> tuple[str, int]:
+    """The rows in ``n`` parts, one after another in time, and the files a part has; every row is in one."""
+    path = f"{base}/input"
+    files = [_arrive(df.filter(f"pmod(xxhash64(*), {n}) = {i}"), path) for i in range(n)]
+    return path, -(-files[-1] // n)
 
 
 def _failing_caller(fails: dict[str, int], empty: dict[str, int]):
@@ -45,14 +51,14 @@ def _failing_caller(fails: dict[str, int], empty: dict[str, int]):
 
 @query(SQL["batch_annotate"])
 def stream_annotate(spark, folder):
-    """``batch_annotate`` over three files: failed rows wait as state and are asked again in later batches."""
+    """``batch_annotate`` over files that come in three parts: failed rows wait as state and are asked again in later batches."""
     base = shared_folder(spark, "stream_annotate")
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    source = _in_files(docs, base, 3)
+    source, files = _in_files(docs, base, 3)
     answer = _failing_caller({"de": 1, "es": 3}, {"fr": 2})
     rt.annotate_new_files(
         spark, source, docs.schema, f"{base}/answers", f"{base}/progress", ["doc_id"], answer, DOCUMENT_VOCABULARY,
-        pause=lambda used: 0.2 * used, max_files=1, every="0 seconds",
+        pause=lambda used: 0.2 * used, max_files=files, every="0 seconds",
     )
     return spark.read.parquet(f"{base}/answers").drop("error")
 
@@ -71,21 +77,22 @@ def merge_in_parts(spark, folder):
 
 @query(SQL["confidence_summary"])
 def growing_summary(spark, folder):
-    """``confidence_summary`` of a table that comes in four files, counted in two runs; no file is read twice."""
+    """``confidence_summary`` of a table that comes in four parts, counted in two runs; no file is read twice."""
     base = shared_folder(spark, "growing_summary")
     rated = rated_labels(spark, folder)
     for run in range(2):
         for part in (2 * run, 2 * run + 1):
-            rated.filter(f"pmod(xxhash64(*), 4) = {part}").coalesce(1).write.mode("append").parquet(f"{base}/input")
+            files = _arrive(rated.filter(f"pmod(xxhash64(*), 4) = {part}"), f"{base}/input")
         ct.count_new_files(
-            spark, f"{base}/input", rated.schema, f"{base}/counts", f"{base}/progress", qa.summary_columns("state"), max_files=1
+            spark, f"{base}/input", rated.schema, f"{base}/counts", f"{base}/progress", qa.summary_columns("state"),
+            max_files=-(-files // (2 * run + 2)),
         )
     return ct.totals(spark, f"{base}/counts")
 
 
 @query(SQL["missing_outputs"])
 def arriving_outputs(spark, folder):
-    """``missing_outputs`` over three files of documents and of labels; two last files of each carry only later times."""
+    """``missing_outputs`` over three parts of documents and of labels; two last ones of each carry only later times."""
     base = shared_folder(spark, "arriving_outputs")
     when = "timestamp_seconds(86400 + doc_id * 60{}) AS at"
     docs = table(spark, folder, "documents").selectExpr("doc_id", "lang", "n_chars", when.format(""))
@@ -97,7 +104,7 @@ def arriving_outputs(spark, folder):
             some = df.filter(bounds) if part < 3 else df.limit(1).selectExpr(
                 *["-1L AS doc_id" if c == "doc_id" else f"timestamp_seconds({end} * 60 + 86400 * {part}) AS at" if c == "at" else c for c in df.columns]
             )
-            some.coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+            _arrive(some, f"{base}/{name}")
         ar.missing_new_files(
             spark, f"{base}/docs", docs.schema, f"{base}/labels", labels.schema, f"{base}/missing", f"{base}/progress",
             "doc_id", "at", "30 seconds",
@@ -107,15 +114,18 @@ def arriving_outputs(spark, folder):
 
 @query(SQL["step_speed"])
 def growing_series(spark, folder):
-    """``step_speed`` of events that come in three files, in two runs; each batch reads only new events and two steps a user."""
+    """``step_speed`` of events that come in three parts, in two runs; each batch reads only new events and two steps a user."""
     base = shared_folder(spark, "growing_series")
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", "value")
     first, third = (events.agg(F.expr(f"percentile_approx(ts, {q})")).first()[0] for q in (0.3, 0.7))
     for i, some in enumerate((F.col("ts") < first, (F.col("ts") >= first) & (F.col("ts") < third), F.col("ts") >= third)):
-        events.filter(some).coalesce(1).write.mode("append").parquet(f"{base}/input")
-        if i:
+        # A part has each user's events in one file, so that batches of any files keep a user's order.
+        arrived = _arrive(events.filter(some).repartition("user_id"), f"{base}/input")
+        if not i:
+            files = arrived
+        else:
             se.add_new_files(
                 spark, f"{base}/input", events.schema, f"{base}/steps", f"{base}/progress", ["user_id"], ["ts", "event_id"], ["value"],
-                max_files=1,
+                max_files=files,
             )
     return event_steps(se.series(spark, f"{base}/steps"))

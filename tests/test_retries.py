@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.operators import annotate as an
-from tagwright.plans.catalog_streams import _failing_caller
+from tagwright.plans.catalog_streams import _failing_caller, _in_files
 from tagwright.streaming.retries import annotate_new_files
 
 VOCABULARY = {"lang": ["en", "de", "none"]}
@@ -37,6 +37,16 @@ def test_three_batches_give_the_batch_result(spark, tmp_path):
     assert rows_of(spark.read.parquet(f"{tmp_path}/out")) == expected
 
 
+def test_no_task_writes_a_whole_part(spark, tmp_path):
+    """Every task writes its own rows, so that no task reads the whole table; the parts are a third of the files each."""
+    rows = spark.range(0, 800, 1, 8)
+    path, files = _in_files(rows, str(tmp_path), 3)
+    assert files == 8
+    got = spark.read.parquet(path)
+    assert len(got.inputFiles()) == 24 and rows_of(got) == rows_of(rows)
+    assert got.groupBy(F.input_file_name().alias("file")).agg((F.max("id") - F.min("id")).alias("of")).filter("of >= 100").isEmpty()
+
+
 def test_a_run_that_was_cut_off_goes_on_with_its_attempts(spark, tmp_path):
     """The first run ends while rows wait for their pause; the second asks them once more only."""
     docs = spark.createDataFrame([(1, "en", "a"), (2, "de", "b"), (2, "de", "b"), (2, "de", "c")], DOCS)
