@@ -10,6 +10,7 @@ packs part of its bins again, several times.
 from __future__ import annotations
 
 import gc
+import re
 import sys
 import zlib
 from array import array
@@ -53,6 +54,9 @@ def _parted(word: bytes) -> tuple[bytes, bytes]:
     return stem, lower[len(stem) :]
 
 
+#: Small letters of ASCII and Latin-1 in UTF-8: one token of the pre-tokenizer, composed, and in lower case already.
+_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+
 _MARKS = b".,;:!?%$&*#|\"()=[]{}/-_+<>~^@"
 
 
@@ -86,19 +90,22 @@ def encoder(tokenizer_file: str, end: int = END):
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     model = Tokenizer.from_file(tokenizer_file)
-    # Letters a to z alone are neither changed by the normalizer nor cut by the pre-tokenizer, so these steps are left out.
+    # Small letters alone are neither changed by the normalizer nor cut by the pre-tokenizer, so these steps are left out.
     bare = Tokenizer.from_file(tokenizer_file)
-    bare.normalizer, bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([])
+    bare.normalizer = normalizers.Sequence([])
+    as_it_is, by_bytes = pre_tokenizers.Sequence([]), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     known, parts = _Recent(CACHE_WORDS), _Recent(2 * CACHE_WORDS)
     tail = np.array([end], "<u4").tobytes()
 
     def learn(words: list[bytes]) -> None:
         split = [_parted(w) for w in words]
         new = parts.missing({p for s in split for p in s})
-        plain, others = [], []
+        plain, latin, others = [], [], []
         for p in new:
-            (plain if p.isalpha() and p.islower() else others).append(p)
-        for by, some in ((bare, plain), (model, others)):
+            (plain if p.isalpha() and p.islower() else latin if _SMALL(p) else others).append(p)
+        for by, cut, some in ((bare, as_it_is, plain), (bare, by_bytes, latin), (model, None, others)):
+            if cut is not None:
+                by.pre_tokenizer = cut
             for start in range(0, len(some), 20_000):
                 piece = some[start : start + 20_000]
                 for p, e in zip(piece, by.encode_batch_fast([p.decode() for p in piece], add_special_tokens=False)):
@@ -120,7 +127,8 @@ def encoder(tokenizer_file: str, end: int = END):
     def encoded(texts: list[bytes]) -> list[bytes]:
         out = []
         for start in range(0, len(texts), 200):
-            split = [t.split() for t in texts[start : start + 200]]
+            # The tokenizer lower-cases all but special tokens, so words that differ by case are one.
+            split = [(t if b"<|" in t else t.lower()).split() for t in texts[start : start + 200]]
             new = known.missing(set().union(*split))
             if new:
                 learn(new)

@@ -45,3 +45,30 @@ def test_encoding_equals_the_tokenizer(texts):
     for text, coded in zip(texts, ENCODE([t.encode() for t in texts])):
         ids = np.frombuffer(coded, "<u4").tolist()
         assert ids == [*MODEL.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_small_latin_letters_and_case_need_no_normalizer(monkeypatch):
+    """Words of small letters, accented or not, go by the tokenizer without normalizer, each once whatever its case."""
+    by_whole = []
+
+    class Counted:
+        from_file = staticmethod(lambda path: Counted(Tokenizer.from_file(path)))
+
+        def __init__(self, inner):
+            object.__setattr__(self, "inner", inner)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, words, **how):
+            if "Lowercase" in str(self.inner.normalizer):
+                by_whole.extend(words)
+            return self.inner.encode_batch_fast(words, **how)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    latin = "".join(map(chr, range(0xC0, 0x100)))
+    texts = [f"{latin.lower()} qu\u00e9os qu\u00e9os, QUeos queos i\u0307 \u00aa \u00f7 \u00d7 a\u0301", "It's <|ENDOFTEXT|> IT'S <|endoftext|>"]
+    texts += [f"a{c}b B{c}" for c in latin]
+    for text, coded in zip(texts, packing.encoder(WORDS)([t.encode() for t in texts])):
+        assert np.frombuffer(coded, "<u4").tolist() == [*MODEL.encode(text, add_special_tokens=False).ids, 1]
+    assert "qu\u00e9os" not in by_whole and "queos" not in by_whole and "\u00f7" in by_whole
