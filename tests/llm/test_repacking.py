@@ -72,3 +72,47 @@ def test_small_latin_letters_and_case_need_no_normalizer(monkeypatch):
     for text, coded in zip(texts, packing.encoder(WORDS)([t.encode() for t in texts])):
         assert np.frombuffer(coded, "<u4").tolist() == [*MODEL.encode(text, add_special_tokens=False).ids, 1]
     assert "qu\u00e9os" not in by_whole and "queos" not in by_whole and "\u00f7" in by_whole
+
+
+def test_small_words_share_calls_of_the_tokenizer(monkeypatch):
+    """Ten thousand new words go to the tokenizer in a few texts, and are kept in a few dozen bytes each."""
+    given_, stores = [], []
+
+    class Counted:
+        from_file = staticmethod(lambda path: Counted(Tokenizer.from_file(path)))
+
+        def __init__(self, inner):
+            object.__setattr__(self, "inner", inner)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, texts, **how):
+            given_.extend(texts)
+            return self.inner.encode_batch_fast(texts, **how)
+
+    class Kept(packing._Known):
+        def __init__(self, *args):
+            super().__init__(*args)
+            stores.append(self)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    monkeypatch.setattr(packing, "_Known", Kept)
+    rng = np.random.default_rng(3)
+    words = sorted({"".join(map(chr, w)) for w in rng.integers(97, 123, (10_000, 9))})
+    text = " ".join(f"{w}{m}" for w, m in zip(words, ["", ",", ".", "\u00e9", "\u00fc!"] * 2000))
+    coded = packing.encoder(WORDS)([text.encode()])[0]
+    assert np.frombuffer(coded, "<u4").tolist() == [*MODEL.encode(text, add_special_tokens=False).ids, 1]
+    assert len(given_) < 100
+    kept = stores[0]
+    assert kept.words.nbytes + kept.ids.nbytes + kept.ends.nbytes + kept.met.nbytes < 70 * len(kept.words)
+
+
+def test_words_forgotten_and_met_again_have_the_same_ids(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 12)
+    monkeypatch.setattr(packing, "CHUNK", 40)
+    rng = np.random.default_rng(5)
+    some = ["the", "The,", "a", "", "qu\u00e9", "it's", "<|endoftext|>", "x<|", "\u6f22", "7up", "end.", "\n", "\u0130", *"bcdefghij"]
+    texts = [" ".join(rng.choice(some, 9)) for _ in range(200)] + ["", " \t", "word " * 50]
+    for text, coded in zip(texts, packing.encoder(WORDS)([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(coded, "<u4").tolist() == [*MODEL.encode(text, add_special_tokens=False).ids, 1]
