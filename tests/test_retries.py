@@ -72,6 +72,28 @@ def test_a_run_that_was_cut_off_goes_on_with_its_attempts(spark, tmp_path):
     assert (calls / "a").read_text() == "x" and (calls / "c").read_text() == "xx"
 
 
+def test_a_run_that_ended_between_batches_goes_on(spark, tmp_path):
+    """No batch is left to repeat and no file is new: the waiting rows are asked again all the same, and then nothing is open."""
+    docs = spark.createDataFrame([(1, "en", "a"), (2, "de", "b"), (2, "de", "b")], DOCS)
+    docs.coalesce(1).write.parquet(f"{tmp_path}/in")
+
+    def answer(row):
+        if row["lang"] == "de" and not (Path(tmp_path) / "open").exists():
+            raise ConnectionError("closed")
+        return {"rows": [{"lang": row["lang"]}]}
+
+    args = (spark, f"{tmp_path}/in", DOCS, f"{tmp_path}/out", f"{tmp_path}/cp", ["doc_id"], answer, VOCABULARY)
+    how = dict(pause=lambda used: 1.0)
+    assert not annotate_new_files(*args, **how, every="1 day", timeout=25)  # one batch; the next is not due
+    (tmp_path / "open").write_text("x")
+    assert annotate_new_files(*args, **how, every="0 seconds", timeout=120)
+    expected = [(1, "en", 1, "ok")] + [(2, "de", 2, "ok")] * 2
+    assert [tuple(r) for r in rows_of(spark.read.parquet(f"{tmp_path}/out").select("doc_id", "lang", "attempts", "status"))] == expected
+    # Nothing is open: a run of one batch finds that out.
+    assert annotate_new_files(*args, **how, every="1 day", timeout=120)
+    assert [tuple(r) for r in rows_of(spark.read.parquet(f"{tmp_path}/out").select("doc_id", "lang", "attempts", "status"))] == expected
+
+
 def test_never_more_open_calls_than_allowed(spark, tmp_path):
     """Two threads in each of two barrier tasks, while another job keeps the cores busy."""
     marks = str(tmp_path)
